@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.operators.clean import cleanse, content_order, dedupe_latest
+from trendlake.operators.clean import add_ratios, cleanse, content_order, dedupe_latest
 
 AS_OF = dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc)
 JOB = "events_job"
@@ -126,7 +126,7 @@ def stats_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = cleanse(stats_star(spark, sf_dir))
     measures = ("views", "likes", "dislikes", "comment_count", "channel_title")
-    return dedupe_latest(clean, order_by=content_order(clean, measures))
+    return add_ratios(dedupe_latest(clean, order_by=content_order(clean, measures)))
 
 
 def _chunk(size: int) -> Column:

@@ -51,7 +51,8 @@ def _field(df: DataFrame, path: str) -> Column | None:
             return None
         schema = schema[part].dataType
         found = F.col(f"`{part}`") if i == 0 else found.getField(part)
-    return F.concat_ws("|", found) if isinstance(schema, ArrayType) else found
+    # A list of tags takes the form it has in the CSV layout.
+    return F.when(found.isNotNull(), F.concat_ws("|", found)) if isinstance(schema, ArrayType) else found
 
 
 def detect_layout(df: DataFrame) -> str:
@@ -79,10 +80,14 @@ def from_api_layout(df: DataFrame, run_date: dt.date | None = None, keep: Sequen
     columns |= {flag: F.lit(False) for flag in API_FLAGS}
     for name, path in API_FIELDS.items():
         source = _field(df, path)
+        if source is None and name not in API_DEFAULTS:
+            raise ValueError(f"field '{path}' is missing; columns found: {df.columns}")
+        default = API_DEFAULTS.get(name)
         if source is None:
-            if name not in API_DEFAULTS:
-                raise ValueError(f"field '{path}' is missing; columns found: {df.columns}")
-            source = F.lit(API_DEFAULTS[name])
+            source = F.lit(default)
+        elif default is not None:
+            # Absent from this row, though some rows or the schema have it.
+            source = F.coalesce(source, F.lit(default).cast("string"))
         columns[name] = source
     return df.select(*(_typed(columns[name], name) for name in CANONICAL), *keep)
 
@@ -103,22 +108,29 @@ def null_to_zero(df: DataFrame, columns: Sequence[str] = MEASURES) -> DataFrame:
 
 
 def cleanse(df: DataFrame) -> DataFrame:
-    """Drop rows without a video, normalise region and date, fill counts, add the ratios."""
+    """Drop rows without a video, normalise region and date, fill the counts."""
     df = df.where(F.col("video_id").isNotNull()).withColumns(
         {"region": normalize_region(F.col("region")), "trending_date_parsed": parse_mixed_date(F.col("trending_date"))}
     )
-    return null_to_zero(df).withColumns({"like_ratio": like_ratio(), "engagement_rate": engagement_rate()})
+    return null_to_zero(df)
+
+
+def add_ratios(df: DataFrame) -> DataFrame:
+    return df.withColumns({"like_ratio": like_ratio(), "engagement_rate": engagement_rate()})
 
 
 def stamp(df: DataFrame, job_name: str, as_of: dt.datetime | None = None) -> DataFrame:
     return df.withColumns({"_processed_at": instant(as_of), "_job_name": F.lit(job_name)})
 
 
-def content_order(df: DataFrame, first: Sequence[str] = ("_processed_at", *MEASURES)) -> list[Column]:
-    """A total order over row content: newest and most viewed first, then every other
-    column. Rows that tie in all of it are equal, so the pick does not depend on partitioning."""
+def content_order(
+    df: DataFrame, first: Sequence[str] = ("_processed_at", *MEASURES), keys: Sequence[str] = VIDEO_KEY
+) -> list[Column]:
+    """A total order of the rows of one key by content: newest and most viewed first, then
+    every other column. Rows that tie in all of it are equal, so the pick does not depend
+    on partitioning."""
     names = [name for name in first if name in df.columns]
-    names += [name for name in df.columns if name not in names]
+    names += [name for name in df.columns if name not in names and name not in keys]
     return [F.col(f"`{name}`").desc() for name in names]
 
 
@@ -131,7 +143,7 @@ def dedupe_latest(
     shuffle (WindowGroupLimit), so a key that holds a third of the rows sends one
     row per map task, not all its copies.
     """
-    window = Window.partitionBy(*keys).orderBy(*(order_by or content_order(df)))
+    window = Window.partitionBy(*keys).orderBy(*(order_by or content_order(df, keys=keys)))
     return df.withColumn("_row_num", F.row_number().over(window)).where(F.col("_row_num") == 1).drop("_row_num")
 
 
@@ -144,6 +156,8 @@ def silver_statistics(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Raw rows of either layout to deduplicated silver rows. ``keep`` names extra raw
-    columns that ``order_by`` needs; they do not reach the result."""
-    clean = stamp(cleanse(to_canonical(df, run_date, keep)), job_name, as_of)
-    return dedupe_latest(clean, order_by=order_by).drop(*keep)
+    columns that ``order_by`` needs; they do not reach the result.
+
+    What can be computed from a surviving row is added after the shuffle."""
+    kept = dedupe_latest(cleanse(to_canonical(df, run_date, keep)), order_by=order_by)
+    return stamp(add_ratios(kept.drop(*keep)), job_name, as_of)

@@ -6,7 +6,7 @@ import logging
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructType
 
 from trendlake.functions import normalize_region, to_long
 from trendlake.operators.sizes import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, broadcast_if_small
@@ -52,7 +52,8 @@ def attach_category(
     within the bounds. Without a lookup every row is ``Unknown``.
     """
     if lookup is not None:
-        stats = stats.withColumn("category_id", to_long(F.col("category_id")))
+        if not isinstance(stats.schema["category_id"].dataType, LongType):
+            stats = stats.withColumn("category_id", to_long(F.col("category_id")))
         stats = stats.join(broadcast_if_small(lookup, max_rows, max_bytes), "category_id", "left")
     if "category_name" not in stats.columns:
         return stats.withColumn("category_name", F.lit(UNKNOWN))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from trendlake.operators.clean import cleanse, dedupe_latest, stamp, to_canonical
+from trendlake.operators.clean import add_ratios, cleanse, dedupe_latest, stamp, to_canonical
 from trendlake.operators.reference import ingest_report, parse_documents, silver_reference
 from trendlake.operators.sizes import broadcast_if_small
 from trendlake.schemas import REFERENCE_ITEM, VIDEO_KEY
@@ -100,7 +100,7 @@ def ingest_stats(
     """
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        incoming = stamp(cleanse(to_canonical(batch, keep=keep)), job_name)
+        incoming = stamp(add_ratios(cleanse(to_canonical(batch, keep=keep))), job_name)
         merge_latest(
             incoming, target, f"{checkpoint}-merge/batch-{batch_id}", order_by=order_by, partition_by=partition_by
         )
