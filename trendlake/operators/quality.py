@@ -9,6 +9,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -218,8 +219,9 @@ def run_checks(
             if isolate:
                 # A handful of records per table: 5 checks, one of them per critical column.
                 records = spark.createDataFrame(records.collect(), CHECK_RECORD)
-        except PySparkException as error:
-            failed = _record("read_table", name, F.lit(False), F.lit(str(error)))
+        except (PySparkException, Py4JJavaError) as error:
+            text = str(getattr(error, "java_exception", error))
+            failed = _record("read_table", name, F.lit(False), F.lit(text))
             records = spark.range(1).select(F.inline(F.array(failed)))
         results.append(records)
     if not results:

@@ -14,12 +14,11 @@ def _with_origin(df: DataFrame) -> DataFrame:
 
 def read_reference_docs(spark: SparkSession, root: str) -> DataFrame:
     # The region is taken from the key, so directories are not read as partitions.
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-    return _with_origin(reader.text(root))
+    return _with_origin(spark.read.text(root, wholetext=True, recursiveFileLookup=True))
 
 
 def stream_reference_docs(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.option("wholetext", True).option("recursiveFileLookup", True)
+    reader = spark.readStream.schema("value string")
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _with_origin(reader.schema("value string").text(root))
+    return _with_origin(reader.text(root, wholetext=True, recursiveFileLookup=True))
