@@ -49,7 +49,9 @@ def bronze_to_silver(
     read = Observation(f"read-{uuid.uuid4().hex}")
     counted = raw.observe(read, F.count(F.lit(1)).alias("rows"))
     silver = silver_statistics(counted, job_name, as_of, order_by=order_by, keep=keep)
-    written = write_partitioned(silver, target, partition_by, mode, table)
+    # Few regions: the tasks of the last shuffle write straight to them. A finer layout
+    # is gathered first, or every task would leave a small file in every partition.
+    written = write_partitioned(silver, target, partition_by, mode, table, rebalance=len(partition_by) > 1)
     return {"rows_read": read.get["rows"], "rows_written": written}
 
 
