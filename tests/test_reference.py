@@ -130,3 +130,8 @@ def test_read_files(spark, tmp_path):
     found = {r.region: r for r in ingest_report(parse_documents(read_reference_docs(spark, str(tmp_path)))).collect()}
     assert found["ca"].rows == 1 and found["ca"].key.endswith("/region=ca/a b+c.json")
     assert found[None].error == "Malformed JSON document"
+
+
+def test_region_is_normalised_like_the_statistics(spark):
+    parsed = parse_documents(docs(spark, {"items": [item("1", "a")]}, region="CA"), False)
+    assert rows_of(silver_reference(parsed), "region") == [("ca",)]

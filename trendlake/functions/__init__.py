@@ -4,9 +4,11 @@ from trendlake.functions.scalars import (
     exact_avg,
     instant,
     like_ratio,
+    mean_of_ratios,
     normalize_region,
     parse_mixed_date,
     ratio_pct,
+    sum_of_ratios,
     to_boolean,
     to_long,
 )
@@ -17,10 +19,12 @@ __all__ = [
     "exact_avg",
     "instant",
     "like_ratio",
+    "mean_of_ratios",
     "normalize_region",
     "parse_mixed_date",
     "ratio_pct",
     "region_from_key",
+    "sum_of_ratios",
     "to_boolean",
     "to_long",
 ]

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
-from trendlake.functions import decode_key, instant, region_from_key
+from trendlake.functions import decode_key, instant, normalize_region, region_from_key
 from trendlake.schemas import REFERENCE_ITEM
 
 EMPTY = "Empty DataFrame — no category items found"  # fixed value: report text
@@ -36,7 +36,9 @@ def parse_documents(docs: DataFrame, key_is_uri: bool = True) -> DataFrame:
         F.try_variant_get(doc, "$.items", "array<variant>").alias("inner"),
     )
     items = F.coalesce(F.col("list"), F.col("inner"), F.when(F.col("is_object"), F.array("doc")))
-    parsed = parsed.select("key", region_from_key(F.col("key")).alias("region"), "modified", "doc", items.alias("items"))
+    # The statistics have lower-case regions, whatever the landing directory is called.
+    region = normalize_region(region_from_key(F.col("key")))
+    parsed = parsed.select("key", region.alias("region"), "modified", "doc", items.alias("items"))
 
     def as_object(item: Column) -> Column:
         return F.try_variant_get(item, "$", "map<string,variant>")
