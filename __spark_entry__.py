@@ -296,7 +296,7 @@ def dq_summary(spark: SparkSession, sf: str) -> DataFrame:
 def dq_alerts(spark: SparkSession, sf: str) -> DataFrame:
     found = quality.alerts(_records(spark, sf))
     get = lambda path: F.get_json_object("message", path)
-    return found.select("subject", get("$.check").alias("check"), get("$.table").alias("table"), get("$.column").alias("column"))
+    return found.select("subject", *(get(f"$.{name}").alias(name) for name in ("check", "table", "column")))
 
 
 def write_partitioned_roundtrip(spark: SparkSession, sf: str) -> DataFrame:

@@ -15,6 +15,7 @@ from trendlake.operators.reference import (
     parse_documents,
     silver_reference,
 )
+from trendlake.schemas import INGEST_REPORT
 from trendlake.sources import read_reference_docs
 
 T0 = dt.datetime(2024, 1, 1)
@@ -36,6 +37,10 @@ def report(spark, *values):
     return [(r.rows, r.error) for r in ingest_report(parse_documents(docs(spark, *values), False)).orderBy("key").collect()]
 
 
+def test_report_schema(spark):
+    assert ingest_report(parse_documents(docs(spark, {"id": "1"}), False)).schema == INGEST_REPORT
+
+
 def test_document_shapes(spark):
     found = report(
         spark,

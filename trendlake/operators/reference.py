@@ -52,7 +52,8 @@ def parse_documents(docs: DataFrame, key_is_uri: bool = True) -> DataFrame:
         .when(F.exists("items", lambda item: as_object(item).isNull()), F.lit("Items are not all objects"))
         .when(~F.exists("items", lambda item: F.size(as_object(item)) > 0), F.lit(EMPTY))
     )
-    missing = F.filter(F.array(*(F.when(~any_item_has(path), F.lit(path)) for path in REQUIRED)), lambda c: c.isNotNull())
+    absent = F.array(*(F.when(~any_item_has(path), F.lit(path)) for path in REQUIRED))
+    missing = F.filter(absent, lambda c: c.isNotNull())
     return parsed.select(
         "key",
         "region",
@@ -69,7 +70,8 @@ def ingest_report(parsed: DataFrame) -> DataFrame:
     ids = F.transform("items", lambda item: F.try_variant_get(item, "$.id", "string"))
     rows = F.when(F.col("has_id"), F.size(F.array_distinct(ids))).otherwise(F.size("items")).cast("bigint")
     good = F.col("error").isNull()
-    return parsed.select("key", F.when(good, F.col("region")).alias("region"), F.when(good, rows).alias("rows"), "error")
+    region = F.when(good, F.col("region"))
+    return parsed.select("key", region.alias("region"), F.when(good, rows).alias("rows"), "error")
 
 
 def newest_per_region(parsed: DataFrame) -> DataFrame:
