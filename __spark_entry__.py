@@ -51,6 +51,14 @@ from trendlake.sources import (
 )
 from trendlake.streaming import ingest_reference, ingest_stats
 
+try:  # the corpus operators are optional: the rest works without their folder
+    import corpus_pipeline  # noqa: F401
+    from trendlake.llm import queries as corpus_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "trendlake.llm", "trendlake.llm.queries"):
+        raise
+    corpus_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 RUN_DATE = dt.date(2024, 1, 31)
 STALE = dt.datetime(2024, 2, 10, tzinfo=dt.timezone.utc)
@@ -432,6 +440,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_ingest_reference": stream_ingest_reference,
         "pipeline_end_to_end": pipeline_end_to_end,
     }
+    if corpus_queries:
+        found |= corpus_queries.queries()
     return {name: _utc(query) for name, query in found.items()}
 
 
@@ -626,6 +636,10 @@ def _fresh(cutoff: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _own_sql() | (corpus_queries.oracle_sql() if corpus_queries else {})
+
+
+def _own_sql() -> dict[str, str]:
     silver_out = ", ".join(SILVER_OUT)
     canonical = ", ".join(
         {"thumbnail_link": "CAST(NULL AS VARCHAR) AS thumbnail_link", "ratings_disabled": "false AS ratings_disabled"}.get(
