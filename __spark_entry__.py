@@ -26,7 +26,7 @@ from trendlake.functions import (
     region_from_key,
 )
 from trendlake.operators import gold, quality
-from trendlake.operators.clean import cleanse, dedupe_latest, from_api_layout, from_csv_layout, null_to_zero
+from trendlake.operators.clean import cleanse, dedupe_latest, from_api_layout, from_csv_layout, null_to_zero, to_canonical
 from trendlake.operators.clean import silver_statistics as build_silver
 from trendlake.operators.enrich import attach_category, build_lookup
 from trendlake.operators.reference import (
@@ -50,6 +50,7 @@ from trendlake.sources import (
     stream_stats,
 )
 from trendlake.streaming import ingest_reference, ingest_stats
+from trendlake.streaming.ingest import merge_latest
 
 try:  # the corpus operators are optional: the rest works without their folder
     import corpus_pipeline  # noqa: F401
@@ -66,6 +67,15 @@ SILVER_OUT = [
     "video_id", "region", "trending_date_parsed", "title", "channel_title", "category_id", "views", "likes",
     "dislikes", "comment_count", "comments_disabled", "video_error_or_removed", "like_ratio", "engagement_rate",
 ]
+# Columns of the gold tables that are compared whole.
+GOLD_OUT = {
+    "trending_analytics": ["region", "trending_date_parsed", "total_videos", "total_views", "total_likes", "total_dislikes",
+                           "total_comments", "max_views", "unique_channels", "unique_categories"],
+    "channel_analytics": ["region", "channel_title", "total_videos", "total_views", "total_likes", "total_comments", "peak_views",
+                          "times_trending", "first_trending", "last_trending", "rank_in_region"],
+    "category_analytics": ["region", "trending_date_parsed", "category_name", "category_id", "video_count", "total_views",
+                           "total_likes", "total_comments", "unique_channels"],
+}
 RECORD_OUT = ["check", "table", "column", "value", "threshold", "passed", "message"]
 REFERENCE_OUT = ["id", "kind", "snippet_channelId", "snippet_title", "snippet_assignable"]
 
@@ -229,7 +239,7 @@ def reference_explode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reference_dedupe_last(spark: SparkSession, sf: str) -> DataFrame:
-    items = explode_items(parse_documents(fx.reference_docs(spark, sf), key_is_uri=False))
+    items = explode_items(parse_documents(fx.reference_docs(spark, sf, dirty=False), key_is_uri=False))
     return dedupe_last(flatten(items)).select("key", "region", "id", "snippet_title")
 
 
@@ -239,8 +249,28 @@ def reference_silver(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reference_discovered_schema(spark: SparkSession, sf: str) -> DataFrame:
-    items = explode_items(parse_documents(fx.reference_docs(spark, sf), key_is_uri=False))
-    return flatten(items, schema=None, separator=".").drop("pos", "has_id")
+    items = explode_items(parse_documents(fx.reference_docs(spark, sf, dirty=False), key_is_uri=False))
+    return flatten(items, separator=".").drop("pos", "has_id")
+
+
+def reference_all_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Every field an item has, oddly named, nested and mixed ones included."""
+    customers = fx.table(spark, sf, "customer")
+    item = F.struct(
+        F.col("c_custkey").cast("string").alias("id"),
+        F.struct(F.col("c_name").alias("title")).alias("snippet"),
+        F.col("c_mktsegment").alias("AVOID"),
+        F.upper("c_name").alias("content-type"),
+        F.struct(F.col("c_custkey").alias("a.b"), F.struct(F.col("c_nationkey").cast("bigint").alias("my key")).alias("deep")).alias("more"),
+        F.array(F.col("c_custkey"), F.col("c_nationkey")).alias("pair"),
+        F.when(F.col("c_custkey") % 3 == 0, F.col("c_nationkey")).alias("rare"),
+    )
+    docs = customers.groupBy(F.floor(F.col("c_custkey") / 50).alias("n")).agg(F.collect_list(item).alias("items"))
+    docs = docs.select(
+        F.concat(F.lit("raw/region=r/"), "n", F.lit(".json")).alias("path"), F.lit(fx.AS_OF).alias("modified"),
+        F.to_json(F.struct("items")).alias("value"),
+    )
+    return flatten(explode_items(parse_documents(docs, key_is_uri=False))).drop("key", "pos", "has_id", "region")
 
 
 def region_from_key_query(spark: SparkSession, sf: str) -> DataFrame:
@@ -249,7 +279,7 @@ def region_from_key_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reference_ingest_report(spark: SparkSession, sf: str) -> DataFrame:
-    return ingest_report(parse_documents(fx.reference_docs(spark, sf), key_is_uri=False))
+    return ingest_report(parse_documents(fx.reference_docs(spark, sf), key_is_uri=False)).drop("missing_columns")
 
 
 def dq_row_count(spark: SparkSession, sf: str) -> DataFrame:
@@ -261,9 +291,10 @@ def dq_null_pct(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """All records of a table that lacks two of the columns it should have, from one pass."""
     columns = ["video_id", "views", "no_such", "also_missing"]
-    checked = quality.check_schema(_checked(spark, sf), "clean_statistics", columns)
-    return checked.select("check", "table", "missing_columns", "passed", "message")
+    records = quality.check_table(_checked(spark, sf), "clean_statistics", as_of=fx.AS_OF, columns=columns)
+    return records.select("check", "table", "column", "value", "threshold", "missing_columns", "passed")
 
 
 def dq_value_range(spark: SparkSession, sf: str) -> DataFrame:
@@ -339,9 +370,10 @@ def stream_ingest_stats(spark: SparkSession, sf: str) -> DataFrame:
     source, target = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
     checkpoint = scratch_path(spark, "stream-state")
     raw = fx.stats_raw(spark, sf)
-    # Four files in two batches; copies of a key fall into different ones.
-    raw.withColumn("part", F.col("event_id") % 4).repartition(4, "part").drop("part").write.parquet(f"{source}/all")
-    reader = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 2)
+    # Four folders in two batches; copies of a key fall into different ones.
+    raw.withColumn("part", F.col("event_id") % 4).write.partitionBy("part").parquet(f"{source}/all")
+    files = len(spark.read.parquet(f"{source}/all").inputFiles())
+    reader = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", -(-files // 2)).option("recursiveFileLookup", True)
     stream = reader.parquet(f"{source}/all")
     ingest_stats(stream, f"{target}/silver", checkpoint, order_by=fx.newest_event(), keep=fx.TIE_BREAK)
     return read_table(spark, f"{target}/silver").select(*SILVER_OUT)
@@ -350,9 +382,21 @@ def stream_ingest_stats(spark: SparkSession, sf: str) -> DataFrame:
 def stream_ingest_csv(spark: SparkSession, sf: str) -> DataFrame:
     """Landed CSV files as a stream, one region partition per batch."""
     source, target = scratch_path(spark, "csv-in"), scratch_path(spark, "csv-out")
-    _land_csv(fx.stats_raw(spark, sf).repartition(1), source)
+    _land_csv(fx.stats_raw(spark, sf), source)
     ingest_stats(stream_stats(spark, source, max_files_per_trigger=2), f"{target}/silver", scratch_path(spark, "csv-state"))
-    return read_table(spark, f"{target}/silver").select("video_id", "region", "trending_date_parsed").distinct()
+    kept = read_table(spark, f"{target}/silver")
+    return kept.groupBy("video_id", "region", "trending_date_parsed").agg(F.count(F.lit(1)).alias("n"))
+
+
+def stream_ingest_blank_regions(spark: SparkSession, sf: str) -> DataFrame:
+    """Blank, null and number-like regions, in two batches of one day each time."""
+    target = scratch_path(spark, "blank")
+    region = F.element_at(F.array(F.lit(""), F.lit(None), F.lit("01"), F.lit(" 1 ")), (F.col("event_id") % 4 + 1).cast("int"))
+    raw = fx.stats_raw(spark, sf).withColumns({"region": region, "video_id": F.col("event_id").cast("string")})
+    for half in (0, 1):
+        rows = to_canonical(raw.where(F.floor(F.col("event_id") / 4) % 2 == half), keep=fx.TIE_BREAK)
+        merge_latest(cleanse(rows), f"{target}/silver", f"{target}/staging")
+    return read_table(spark, f"{target}/silver").groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
 
 
 def stream_ingest_reference(spark: SparkSession, sf: str) -> DataFrame:
@@ -370,14 +414,46 @@ def reference_files_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("region", "id", "snippet_title")
 
 
-def pipeline_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
-    root = scratch_path(spark, "pipeline")
-    docs = fx.landed_docs(spark, sf).select(
+def _pipeline_docs(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.landed_docs(spark, sf).select(
         F.concat(F.lit("raw/region="), "region", F.lit("/a.json")).alias("path"), F.lit(fx.AS_OF).alias("modified"), "value"
     )
+
+
+def pipeline_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_path(spark, "pipeline")
+    docs = _pipeline_docs(spark, sf)
     run(fx.stats_raw(spark, sf), docs, root, fx.JOB, fx.AS_OF, fx.newest_event(), fx.TIE_BREAK)
-    channels = read_table(spark, f"{root}/gold/channel_analytics")
-    return channels.select("region", "channel_title", "total_videos", "total_views", "categories", "rank_in_region")
+    return _gold_rows(spark, root)
+
+
+def _gold_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Rows of the three gold tables, as (tbl, row as text without the stamp)."""
+    parts = []
+    for name, columns in GOLD_OUT.items():
+        rows = read_table(spark, f"{root}/gold/{name}")
+        parts.append(rows.select(F.lit(name).alias("tbl"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns]).alias("line")))
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+def pipeline_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The events in three runs over one root, the last run twice: the same gold as in one run."""
+    root = scratch_path(spark, "incremental")
+    docs = _pipeline_docs(spark, sf)
+    raw = fx.stats_raw(spark, sf)
+    for part in (0, 1, 2, 2):
+        rows = raw.where(F.col("event_id") % 3 == part)
+        run(rows, docs, root, fx.JOB, fx.AS_OF, fx.newest_event(), fx.TIE_BREAK)
+    return _gold_rows(spark, root)
+
+
+def pipeline_bad_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """A run with broken documents ends well and says which they were."""
+    root = scratch_path(spark, "bad")
+    run(fx.stats_raw(spark, sf), fx.reference_docs(spark, sf), root, fx.JOB, fx.AS_OF, fx.newest_event(), fx.TIE_BREAK)
+    report = spark.read.parquet(f"{root}/reports/reference").where("error is not null").select("key", "error")
+    alerts = spark.read.json(f"{root}/alerts").select(F.get_json_object("message", "$.key").alias("key"), F.lit(True).alias("alerted"))
+    return report.join(alerts, "key", "left").withColumn("alerted", F.coalesce("alerted", F.lit(False)))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -438,6 +514,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_ingest_stats": stream_ingest_stats,
         "stream_ingest_csv": stream_ingest_csv,
         "stream_ingest_reference": stream_ingest_reference,
+        "reference_all_fields": reference_all_fields,
+        "stream_ingest_blank_regions": stream_ingest_blank_regions,
+        "pipeline_incremental": pipeline_incremental,
+        "pipeline_bad_documents": pipeline_bad_documents,
         "pipeline_end_to_end": pipeline_end_to_end,
     }
     if corpus_queries:
@@ -588,6 +668,8 @@ items AS (
 ),
 last_items AS (SELECT * FROM items QUALIFY row_number() OVER (PARTITION BY key, id ORDER BY pos DESC) = 1)"""
 
+_WHOLE_DOCS = _DOCS.replace("n % 5 AS shape", "0 AS shape")
+
 _CHECKED = (
     _ZERO
     + r""",
@@ -624,6 +706,19 @@ records AS (
 )"""
 
 
+def _gold_line(name: str, rows: str) -> str:
+    line = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in GOLD_OUT[name])
+    return f"SELECT '{name}' AS tbl, concat_ws('|', {line}) AS line FROM ({rows})"
+
+
+_GOLD_SQL = f"""WITH {_SILVER}, named AS (
+  SELECT silver.*, coalesce(c_name, 'Unknown') AS category_name FROM silver LEFT JOIN customer ON category_id = c_custkey
+), {_CHANNELS}
+{_gold_line('trending_analytics', _TRENDING)} UNION ALL
+{_gold_line('channel_analytics', f'SELECT *, {_RANK} FROM channels')} UNION ALL
+{_gold_line('category_analytics', _CATEGORY)}"""
+
+
 def _stamp(expression: str) -> str:
     return f"""(strftime({expression}, '%Y-%m-%d %H:%M:%S') || '+00:00')"""
 
@@ -691,10 +786,13 @@ def _own_sql() -> dict[str, str]:
         "star_category_analytics": f"WITH {_STAR}{_NAMED} {_CATEGORY}",
         "star_top_channels": f"WITH {_STAR}{_NAMED}, {_CHANNELS} {_top('asia', 25)}",
         "reference_explode": f"WITH {_DOCS} SELECT key, region, pos, {reference_out} FROM items",
-        "reference_dedupe_last": f"WITH {_DOCS} SELECT key, region, id, snippet_title FROM last_items",
+        "reference_dedupe_last": f"WITH {_WHOLE_DOCS} SELECT key, region, id, snippet_title FROM last_items",
         "reference_silver": f"""WITH {_DOCS} SELECT region, id, snippet_title, key AS _source_file FROM last_items
             WHERE n IN (SELECT max(n) FROM docs WHERE shape IN (0, 2, 4) GROUP BY region)""",
-        "reference_discovered_schema": f"""WITH {_DOCS} SELECT key, region, id, kind,
+        "reference_all_fields": """SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS snippet_title, c_mktsegment AS "AVOID",
+            upper(c_name) AS "content-type", c_custkey AS "more_a.b", CAST(c_nationkey AS BIGINT) AS "more_deep_my key", [c_custkey, CAST(c_nationkey AS BIGINT)] AS pair,
+            CASE WHEN c_custkey % 3 = 0 THEN CAST(c_nationkey AS BIGINT) END AS rare FROM customer""",
+        "reference_discovered_schema": f"""WITH {_WHOLE_DOCS} SELECT key, region, id, kind,
             "snippet_channelId" AS "snippet.channelId", snippet_title AS "snippet.title",
             snippet_assignable AS "snippet.assignable" FROM items""",
         "reference_files_roundtrip": f"SELECT {landed} FROM customer",
@@ -706,8 +804,7 @@ def _own_sql() -> dict[str, str]:
         "reference_ingest_report": f"""WITH {_DOCS}
             SELECT docs.key, CASE WHEN shape IN (0, 2, 4) THEN docs.region END AS region,
               CASE WHEN shape IN (0, 2, 4) THEN count(id) END AS rows,
-              CASE shape WHEN 1 THEN 'Malformed JSON document'
-                         WHEN 3 THEN 'Empty DataFrame — no category items found' END AS error
+              CASE shape WHEN 1 THEN 'Not a JSON document' WHEN 3 THEN 'No category items in the document' END AS error
             FROM docs LEFT JOIN last_items ON docs.n = last_items.n GROUP BY docs.key, docs.region, shape""",
         "dq_row_count": f"""WITH {_CHECKED} SELECT 'row_count' AS "check", 'clean_statistics' AS "table",
             CAST(NULL AS VARCHAR) AS "column", CAST(count(*) AS DOUBLE) AS value, CAST(10 AS DOUBLE) AS threshold,
@@ -716,9 +813,20 @@ def _own_sql() -> dict[str, str]:
             c AS "column", round(CAST(p AS DOUBLE), 2) AS value, CAST(5 AS DOUBLE) AS threshold, p <= 5 AS passed,
             c || ' null%: ' || printf('%.2f', CAST(p AS DOUBLE)) || '% (max: 5.0%)' AS message
             FROM (VALUES {_NULL_PCT}) v(c, p)""",
-        "dq_schema": """SELECT 'schema' AS "check", 'clean_statistics' AS "table",
-            ['also_missing', 'no_such'] AS missing_columns, false AS passed,
-            'Missing columns: {''also_missing'', ''no_such''}' AS message""",
+        "dq_schema": f"""WITH {_CHECKED}, records AS (
+              SELECT 'row_count' AS "check", NULL AS "column", CAST(count(*) AS DOUBLE) AS value, CAST(10 AS DOUBLE) AS threshold,
+                count(*) >= 10 AS passed FROM checked
+              UNION ALL SELECT 'null_pct', 'video_id', 100.0 * count(*) FILTER (video_id IS NULL) / count(*), 5.0,
+                count(*) FILTER (video_id IS NULL) * 20 <= count(*) FROM checked
+              UNION ALL SELECT 'null_pct', 'views', 100.0 * count(*) FILTER (views IS NULL) / count(*), 5.0,
+                count(*) FILTER (views IS NULL) * 20 <= count(*) FROM checked
+              UNION ALL SELECT 'null_pct', c, NULL, NULL, false FROM (VALUES ('no_such'), ('also_missing')) v(c)
+              UNION ALL SELECT 'schema', NULL, NULL, NULL, false
+              UNION ALL SELECT 'value_range', 'views', NULL, NULL,
+                count(*) FILTER (WHERE views < 0 OR views > 50000000000) = 0 FROM checked
+              UNION ALL SELECT 'freshness', NULL, NULL, NULL, max(processed_at) >= TIMESTAMP '2024-01-29' FROM checked
+            ) SELECT *, 'clean_statistics' AS "table",
+              CASE WHEN "check" = 'schema' THEN ['also_missing', 'no_such'] END AS missing_columns FROM records""",
         "dq_value_range": f"""WITH {_CHECKED}, c AS (SELECT count(*) FILTER (WHERE views < 0) AS neg,
             count(*) FILTER (WHERE views > 50000000000) AS ext FROM checked)
             SELECT 'value_range' AS "check", 'clean_statistics' AS "table", 'views' AS "column",
@@ -740,11 +848,13 @@ def _own_sql() -> dict[str, str]:
         "schema_evolution_roundtrip": """SELECT event_type AS region, count(*) AS n,
             count(CASE WHEN event_type = 'error' THEN value END) AS with_value FROM events GROUP BY event_type""",
         "stream_ingest_stats": f"WITH {_SILVER} SELECT {silver_out} FROM silver",
-        "stream_ingest_csv": f"WITH {_SILVER} SELECT video_id, region, trending_date_parsed FROM silver",
+        "stream_ingest_csv": f"WITH {_SILVER} SELECT video_id, region, trending_date_parsed, count(*) AS n FROM silver GROUP BY ALL",
+        "stream_ingest_blank_regions": """SELECT CASE event_id % 4 WHEN 2 THEN '01' WHEN 3 THEN '1' END AS region, count(*) AS n,
+            CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY 1""",
         "stream_ingest_reference": f"SELECT {landed} FROM customer",
-        "pipeline_end_to_end": f"""WITH {_SILVER}, named AS (
-              SELECT silver.*, coalesce(c_name, 'Unknown') AS category_name
-              FROM silver LEFT JOIN customer ON category_id = c_custkey
-            ), {_CHANNELS}
-            SELECT region, channel_title, total_videos, total_views, categories, {_RANK} FROM channels""",
+        "pipeline_end_to_end": _GOLD_SQL,
+        "pipeline_incremental": _GOLD_SQL,
+        "pipeline_bad_documents": """SELECT 'raw/region=r' || (n // 3) || '/doc+' || n || '-x.json' AS key,
+            CASE n % 5 WHEN 1 THEN 'Not a JSON document' ELSE 'No category items in the document' END AS error, true AS alerted
+            FROM (SELECT DISTINCT c_custkey // 50 AS n FROM customer) WHERE n % 5 IN (1, 3)""",
     }

@@ -144,14 +144,34 @@ def test_summary_of_nothing_passes(spark):
     assert (row.quality_passed, row.checks_passed, row.checks_total) == (True, 0, 0)
 
 
-def test_sample_rows(spark):
-    rows = quality.check_table(stats(spark, 500), STATS, sample_rows=100, as_of=AS_OF).collect()
-    assert rows[0].value == 100.0
+def test_a_loaders_own_error_concerns_its_table_only(spark):
+    def broken():
+        raise FileNotFoundError("gone")
+
+    rows = quality.run_checks(spark, {"broken": broken, STATS: stats(spark, 50)}, as_of=AS_OF).collect()
+    assert [r.table for r in rows if r.check == "read_table"] == ["broken"] and {r.table for r in rows} == {"broken", STATS}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata", "America/New_York"])
+def test_freshness_does_not_depend_on_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for text, fresh in (("2024-01-29 00:00:00", True), ("2024-01-28 23:59:59", False), ("2024-01-28T23:30:00-01:00", True), ("2024-01-29", True)):
+            rows = spark.createDataFrame([(text,)], "_processed_at string")
+            found = quality.check_freshness(rows, STATS, as_of=dt.datetime(2024, 1, 31)).first()
+            assert found.passed is fresh, (zone, text, found.message)
+            assert found.cutoff == "2024-01-29 00:00:00+00:00"
+        assert "2024-01-29 00:30:00+00:00" in quality.check_freshness(
+            spark.createDataFrame([("2024-01-28T23:30:00-01:00",)], "_processed_at string"), STATS, as_of=dt.datetime(2024, 1, 31)
+        ).first().message
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_alerts(spark):
     results = quality.run_checks(spark, {STATS: stats(spark, 3)}, as_of=AS_OF)
     row = one(quality.alerts(results, "x" * 150))
-    assert row.subject == "x" * 100
+    assert row.subject == "x" * 150
     message = json.loads(row.message)
     assert (message["check"], message["passed"], message["value"]) == ("row_count", False, 3.0)

@@ -133,12 +133,13 @@ def _chunk(size: int) -> Column:
     return F.floor(F.col("c_custkey") / size).cast("bigint")
 
 
-def reference_docs(spark: SparkSession, sf_dir: str, size: int = 50) -> DataFrame:
+def reference_docs(spark: SparkSession, sf_dir: str, size: int = 50, dirty: bool = True) -> DataFrame:
     """``customer`` packed into JSON documents of ``size`` customers, ``(path, modified, value)``.
 
     Every fifth customer occurs twice, the later item renamed. Documents come in
     five shapes by number: whole, cut off, top-level list, no items, a single object.
-    The region changes every third document, so a region has several documents.
+    The region changes every third document, so a region has several documents. Without
+    ``dirty`` all are whole.
     """
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
     again = customers.where(F.col("c_custkey") % 5 == 0)
@@ -157,7 +158,7 @@ def reference_docs(spark: SparkSession, sf_dir: str, size: int = 50) -> DataFram
     ordered = F.sort_array(F.collect_list(F.struct("copy", "c_custkey", item.alias("item"))))
     docs = copies.groupBy(_chunk(size).alias("n")).agg(F.transform(ordered, lambda x: x["item"]).alias("items"))
     whole = F.to_json(F.struct(F.lit("list").alias("kind"), "items"))
-    shape = F.col("n") % 5
+    shape = F.col("n") % 5 if dirty else F.lit(0)
     value = (
         F.when(shape == 1, F.expr("left(to_json(struct('list' as kind, items)), 40)"))
         .when(shape == 2, F.to_json("items"))

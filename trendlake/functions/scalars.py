@@ -28,7 +28,10 @@ def to_boolean(c: Column) -> Column:
 
 
 def normalize_region(c: Column) -> Column:
-    return F.lower(F.trim(c))
+    """Lower case, trimmed; a blank region is none. A directory cannot tell the two apart, so
+    nothing may be keyed on a blank."""
+    region = F.lower(F.trim(c))
+    return F.when(region != "", region)
 
 
 def parse_mixed_date(c: Column) -> Column:

@@ -7,15 +7,19 @@ the choice of the newest document per region need no shuffle of items.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import StructType
 
 from trendlake.functions import decode_key, instant, normalize_region, region_from_key
 from trendlake.schemas import REFERENCE_ITEM
 
-EMPTY = "Empty DataFrame — no category items found"  # fixed value: report text
+EMPTY = "No category items in the document"
+MALFORMED = "Not a JSON document"
+BAD_TEXT = {"columnNameOfCorruptRecord": "_bad", "maxStringLen": "2147483647"}
+VARIANT_CHARS = 16 << 20  # texts from here on may be more than one variant holds
 REQUIRED = ("id", "snippet.title")  # fixed values: fields every item should have
 
 
@@ -26,19 +30,26 @@ def parse_documents(docs: DataFrame, key_is_uri: bool = True) -> DataFrame:
     top-level list: its elements). ``error`` says why a document is unusable and
     ``missing_columns`` lists required fields no item has (a warning only).
     """
-    doc = F.try_parse_json(F.col("value"))
+    first = F.substring(F.ltrim(F.col("value")), 1, 1)
+    # Only split here, every item as text: a whole document may be larger than one variant can be.
+    whole = F.from_json("value", "items array<string>, _bad string", BAD_TEXT)
+    top = F.from_json("value", "array<string>")
     parsed = docs.select(
         decode_key(F.col("path"), plus_is_blank=not key_is_uri).alias("key"),
         "modified",
-        doc.alias("doc"),
-        F.try_variant_get(doc, "$", "array<variant>").alias("list"),
-        F.try_variant_get(doc, "$", "map<string,variant>").isNotNull().alias("is_object"),
-        F.try_variant_get(doc, "$.items", "array<variant>").alias("inner"),
+        first.alias("first"),
+        F.when(first == "{", F.col("value")).alias("object"),
+        F.when(first == "{", whole).alias("whole"),
+        F.when(first == "[", top).alias("list"),
+    )
+    texts = (
+        F.when(F.col("first") == "[", F.col("list"))
+        .when(F.col("whole._bad").isNull(), F.coalesce("whole.items", F.array("object")))
     )
-    items = F.coalesce(F.col("list"), F.col("inner"), F.when(F.col("is_object"), F.array("doc")))
     # The statistics have lower-case regions, whatever the landing directory is called.
     region = normalize_region(region_from_key(F.col("key")))
-    parsed = parsed.select("key", region.alias("region"), "modified", "doc", items.alias("items"))
+    parsed = parsed.select("key", region.alias("region"), "modified", "first", texts.alias("texts"))
+    parsed = parsed.withColumn("items", F.transform("texts", F.try_parse_json))
 
     def as_object(item: Column) -> Column:
         return F.try_variant_get(item, "$", "map<string,variant>")
@@ -46,9 +57,11 @@ def parse_documents(docs: DataFrame, key_is_uri: bool = True) -> DataFrame:
     def any_item_has(path: str) -> Column:
         return F.exists("items", lambda item: F.try_variant_get(item, f"$.{path}", "variant").isNotNull())
 
+    too_large = F.exists("texts", lambda text: F.try_parse_json(text).isNull() & (F.length(text) > VARIANT_CHARS))
     error = (
-        F.when(F.col("doc").isNull(), F.lit("Malformed JSON document"))
-        .when(F.col("items").isNull(), F.lit("Document is neither an object nor a list"))
+        F.when(F.col("first").isin("{", "[") & F.col("texts").isNull(), F.lit(MALFORMED))
+        .when(F.col("texts").isNull(), F.lit("Neither an object nor a list"))
+        .when(too_large, F.lit("An item is over the parser's limit"))
         .when(F.exists("items", lambda item: as_object(item).isNull()), F.lit("Items are not all objects"))
         .when(~F.exists("items", lambda item: F.size(as_object(item)) > 0), F.lit(EMPTY))
     )
@@ -71,7 +84,13 @@ def ingest_report(parsed: DataFrame) -> DataFrame:
     rows = F.when(F.col("has_id"), F.size(F.array_distinct(ids))).otherwise(F.size("items")).cast("bigint")
     good = F.col("error").isNull()
     region = F.when(good, F.col("region"))
-    return parsed.select("key", region.alias("region"), F.when(good, rows).alias("rows"), "error")
+    return parsed.select("key", region.alias("region"), F.when(good, rows).alias("rows"), "error", "missing_columns")
+
+
+def report_alerts(report: DataFrame) -> DataFrame:
+    """One alert per failed document, in the form of the check alerts."""
+    failed = report.where(F.col("error").isNotNull())
+    return failed.select(F.lit("Reference document FAILED").alias("subject"), F.to_json(F.struct("key", "error")).alias("message"))
 
 
 def newest_per_region(parsed: DataFrame) -> DataFrame:
@@ -88,39 +107,93 @@ def explode_items(parsed: DataFrame) -> DataFrame:
     return usable.select("key", "region", "has_id", F.posexplode("items").alias("pos", "item"))
 
 
-def discover_schema(items: DataFrame) -> StructType:
-    """The struct that holds every item. A distributed aggregate; only the type returns."""
-    found = items.agg(F.schema_of_variant_agg("item")).first()[0]
-    ddl = found.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
-    return items.sparkSession.range(0).select(F.lit(None).cast(ddl).alias("t")).schema["t"].dataType
+def _entries(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "map<string,variant>")
+
+
+def discover_fields(items: DataFrame) -> dict[tuple[str, ...], str]:
+    """Path and type of every field that is not itself an object. One aggregate per depth of
+    nesting; only names and types return, in the order of the names."""
+    found: dict[tuple[str, ...], str] = {}
+    level = items.select(F.array().cast("array<string>").alias("path"), F.col("item").alias("value"))
+    while True:
+        inner = level.select("path", F.explode(_entries(F.col("value"))).alias("name", "value"))
+        inner = inner.select(F.concat("path", F.array("name")).alias("path"), "value")
+        is_object = _entries(F.col("value")).isNotNull()
+        leaf = F.when(~F.coalesce(is_object, F.lit(False)), F.col("value"))
+        fields = inner.groupBy("path").agg(
+            F.schema_of_variant_agg(leaf).alias("kind"), F.count(leaf).alias("leaves"), F.bool_or(is_object).alias("deeper")
+        ).collect()  # one row per field name
+        found |= {tuple(r["path"]): r["kind"] for r in fields if r["leaves"] or not r["deeper"]}
+        if not any(r["deeper"] for r in fields):
+            return dict(sorted(found.items()))
+        level = inner.where(is_object)
+
+
+def _leaf(path: Sequence[str], kind: str) -> Column:
+    """A field by its name alone, whatever letters that has."""
+    value = F.col("item")
+    for name in path:
+        value = F.try_element_at(_entries(value), F.lit(name))
+    known = REFERENCE_TYPES.get(tuple(path))
+    if known:
+        return F.try_variant_get(value, "$", known)
+    if kind == "VOID" or kind == "STRING":
+        return F.try_variant_get(value, "$", "string")
+    if kind in ("BIGINT", "BOOLEAN", "DOUBLE", "FLOAT", "DATE") or kind.startswith("DECIMAL"):
+        return F.try_variant_get(value, "$", kind)
+    if kind.startswith("ARRAY<") and "OBJECT" not in kind and "VARIANT" not in kind:
+        return F.try_variant_get(value, "$", kind.replace("VOID", "STRING"))
+    # Mixed kinds, or lists of objects: as text.
+    scalar = F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
+    return F.coalesce(scalar, F.to_json(value))
+
+
+def flatten(items: DataFrame, schema: StructType | None = None, separator: str = "_") -> DataFrame:
+    """Item objects to columns, nested names joined by ``separator``.
+
+    By default every field that any item has becomes a column; names that differ only by case, or
+    that meet once joined, share one. ``schema`` limits them to known fields and reads nothing ahead.
+    """
+    fields = discover_fields(items) if schema is None else {p: "" for p in _paths(schema)}
+    kinds = {} if schema is None else _kinds(schema)
+    columns: dict[str, list[Column]] = {}
+    spelled: dict[str, str] = {}
+    for path, kind in fields.items():
+        name = separator.join(path)
+        key = spelled.setdefault(name.lower(), name)
+        columns.setdefault(key, []).append(_leaf(path, kind or kinds[path]))
+    reserved = ("key", "region", "pos", "has_id")
+    leaves = [
+        (F.coalesce(*(c.cast("string") for c in found)) if len(found) > 1 else found[0]).alias(
+            f"item{separator}{name}" if name.lower() in reserved else name
+        )
+        for name, found in columns.items()
+    ]
+    return items.select(*reserved, *leaves)
 
 
-def _leaves(kind: DataType, column: Column, name: str, separator: str) -> list[Column]:
-    if not isinstance(kind, StructType):
-        return [column.alias(name)]
-    return [
-        leaf
-        for field in kind
-        for leaf in _leaves(field.dataType, column.getField(field.name), f"{name}{separator}{field.name}", separator)
-    ]
+def _kinds(schema: StructType, path: tuple[str, ...] = ()) -> dict[tuple[str, ...], str]:
+    out: dict[tuple[str, ...], str] = {}
+    for field in schema:
+        here = (*path, field.name)
+        nested = isinstance(field.dataType, StructType)
+        out |= _kinds(field.dataType, here) if nested else {here: field.dataType.simpleString().upper()}
+    return out
 
 
-def flatten(items: DataFrame, schema: StructType | None = REFERENCE_ITEM, separator: str = "_") -> DataFrame:
-    """Item objects to columns, nested names joined by ``separator``. ``schema=None``
-    takes whatever fields the items have."""
-    schema = discover_schema(items) if schema is None else schema
-    typed = items.withColumn("item", F.try_variant_get(F.col("item"), "$", schema.simpleString()))
-    columns = [
-        leaf
-        for field in schema
-        for leaf in _leaves(field.dataType, F.col("item").getField(field.name), field.name, separator)
-    ]
-    return typed.select("key", "region", "pos", "has_id", *columns)
+def _paths(schema: StructType) -> list[tuple[str, ...]]:
+    return list(_kinds(schema))
+
+
+REFERENCE_TYPES = {path: kind.lower() for path, kind in _kinds(REFERENCE_ITEM).items()}
 
 
 def dedupe_last(rows: DataFrame, id_column: str = "id") -> DataFrame:
     """The last item of each id in its document. Items without an id count as one id;
     a document where no item has an id is left whole."""
+    if id_column not in rows.columns:
+        rows = rows.withColumn(id_column, F.lit(None).cast("string"))
     own = F.when(F.col("has_id"), F.lit(-1)).otherwise(F.col("pos"))
     window = Window.partitionBy("key", id_column, "_own").orderBy(F.col("pos").desc())
     numbered = rows.withColumn("_own", own).withColumn("_n", F.row_number().over(window))
@@ -130,7 +203,7 @@ def dedupe_last(rows: DataFrame, id_column: str = "id") -> DataFrame:
 def silver_reference(
     parsed: DataFrame,
     as_of: dt.datetime | None = None,
-    schema: StructType | None = REFERENCE_ITEM,
+    schema: StructType | None = None,
     separator: str = "_",
 ) -> DataFrame:
     """Rows of the silver reference table from the newest usable document of each region."""

@@ -9,13 +9,17 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from trendlake.operators import gold, quality
-from trendlake.operators.clean import silver_statistics
+from trendlake.operators.clean import add_ratios, cleanse, silver_statistics, stamp, to_canonical
 from trendlake.operators.enrich import attach_category, build_lookup
-from trendlake.operators.reference import ingest_report, parse_documents, silver_reference
+from trendlake.operators.reference import ingest_report, parse_documents, report_alerts, silver_reference
+from trendlake.schemas import INGEST_REPORT
+from trendlake.session import materialise
 from trendlake.sinks import overwrite_partitions, write_partitioned
 from trendlake.sources import read_optional, read_table
+from trendlake.streaming.ingest import MERGE_PARTITIONS, merge_latest, publish
 
 log = logging.getLogger(__name__)
 
@@ -38,9 +42,15 @@ def bronze_to_silver(
     partition_by: Sequence[str] = ("region",),
     table: str | None = None,
     mode: str = "overwrite",
+    run_date: dt.date | None = None,
 ) -> dict:
     """Clean and write the statistics in one pass over ``raw``; nothing is written for
-    no input. Returns ``rows_read`` and ``rows_written``. ``rows_read`` is a log
+    no input.
+
+    ``mode="merge"`` keeps what is there: the rows are merged by key into the partitions they
+    touch, which must be part of the key, and ``keep`` columns stay in the table, because later
+    runs are ordered against them. ``overwrite`` replaces the partitions that occur in ``raw``.
+    ``run_date`` is the day API rows trend on. Returns ``rows_read`` and ``rows_written``. ``rows_read`` is a log
     figure: it is observed before a shuffle, so a task that is run again after an
     executor is lost may count twice. ``rows_written`` is exact."""
     if raw.isEmpty():
@@ -48,19 +58,31 @@ def bronze_to_silver(
         return {"rows_read": 0, "rows_written": 0}
     read = Observation(f"read-{uuid.uuid4().hex}")
     counted = raw.observe(read, F.count(F.lit(1)).alias("rows"))
-    silver = silver_statistics(counted, job_name, as_of, order_by=order_by, keep=keep)
-    # Few regions: the tasks of the last shuffle write straight to them. A finer layout
-    # is gathered first, or every task would leave a small file in every partition.
-    written = write_partitioned(silver, target, partition_by, mode, table, rebalance=len(partition_by) > 1)
+    if mode == "merge":
+        staging = f"{target.rstrip('/')}-merge"
+        # What an interrupted run had merged is complete; it goes first.
+        publish(raw.sparkSession, target, staging, partition_by, table=table)
+        incoming = stamp(add_ratios(cleanse(to_canonical(counted, run_date, keep))), job_name, as_of)
+        written = merge_latest(incoming, target, staging, order_by=order_by, partition_by=partition_by, table=table)
+        return {"rows_read": read.get["rows"], "rows_written": written}
+    silver = silver_statistics(counted, job_name, as_of, run_date, order_by=order_by, keep=keep)
+    # Gathered by partition first, or every task would leave a file in every partition;
+    # adaptive execution splits the large ones.
+    written = write_partitioned(silver, target, partition_by, mode, table, rebalance=True)
     return {"rows_read": read.get["rows"], "rows_written": written}
 
 
 def reference_to_silver(
-    docs: DataFrame, target: str, as_of: dt.datetime | None = None, table: str | None = None
+    docs: DataFrame,
+    target: str,
+    as_of: dt.datetime | None = None,
+    table: str | None = None,
+    schema: StructType | None = None,
 ) -> DataFrame:
-    """Write the newest usable document of each region; returns the ingest report."""
-    parsed = parse_documents(docs)
-    overwrite_partitions(silver_reference(parsed, as_of), target, table=table)
+    """Write the newest usable document of each region, with every field its items have
+    (``schema`` limits them); returns the ingest report."""
+    parsed = materialise(parse_documents(docs), "reference")
+    overwrite_partitions(silver_reference(parsed, as_of, schema), target, table=table)
     return ingest_report(parsed)
 
 
@@ -117,18 +139,48 @@ def run(
     as_of: dt.datetime | None = None,
     order_by: Sequence[Column] | None = None,
     keep: Sequence[str] = (),
+    run_date: dt.date | None = None,
+    mode: str = "merge",
+    partition_by: Sequence[str] = MERGE_PARTITIONS,
+    database: str | None = None,
     **checks,
 ) -> dict:
     """Raw statistics and reference documents to gold under ``root``. Gold is built only
-    when every check on silver passes."""
+    when every check on silver passes.
+
+    ``raw`` may be one day or everything: by default it is merged into what earlier runs left,
+    and running it again changes nothing. ``database`` registers the tables in the catalog. The
+    report on reference documents is in the result (``reference``: how many failed, which required
+    columns are missing) and under ``<root>/reports``; failed documents also become alerts.
+    """
     spark = raw.sparkSession
     silver_path, reference_path = f"{root}/silver/statistics", f"{root}/silver/reference"
-    report = {"statistics": bronze_to_silver(raw, silver_path, job_name, as_of, order_by, keep)}
+    name = lambda table: f"{database}.{table}" if database else None
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    statistics = bronze_to_silver(
+        raw, silver_path, job_name, as_of, order_by, keep, partition_by, name("clean_statistics"), mode, run_date
+    )
+    report = {"statistics": statistics}
     tables = {"clean_statistics": lambda: read_table(spark, silver_path)}
     if reference_docs is not None:
-        reference_to_silver(reference_docs, reference_path, as_of)
+        ingested = reference_to_silver(reference_docs, reference_path, as_of, name("clean_reference_data"))
+        ingested.write.mode("overwrite").parquet(f"{root}/reports/reference")
+        ingested = spark.read.schema(INGEST_REPORT).parquet(f"{root}/reports/reference")
+        failed = ingested.where(F.col("error").isNotNull())
+        found = ingested.agg(
+            F.count(F.lit(1)).alias("documents"),
+            F.count("error").alias("failed"),
+            F.array_distinct(F.flatten(F.collect_set("missing_columns"))).alias("missing_columns"),
+        )
+        report["reference"] = found.first().asDict()
+        if report["reference"]["failed"]:
+            log.warning("%s reference documents failed", report["reference"]["failed"])
+            report_alerts(failed).write.mode("append").json(f"{root}/alerts")
+        if report["reference"]["missing_columns"]:
+            log.warning("reference items lack %s", report["reference"]["missing_columns"])
         tables["clean_reference_data"] = lambda: read_table(spark, reference_path)
     report["quality"] = quality_gate(spark, tables, f"{root}/alerts", as_of=as_of, **checks)
     reference = read_optional(spark, reference_path)
-    report["gold"] = silver_to_gold(read_table(spark, silver_path), reference, f"{root}/gold", as_of)
+    report["gold"] = silver_to_gold(read_table(spark, silver_path), reference, f"{root}/gold", as_of, database)
     return report

@@ -100,7 +100,7 @@ CHECK_RECORD = struct(
     message=TEXT,
 )
 
-INGEST_REPORT = struct(key=TEXT, region=TEXT, rows=LONG, error=TEXT)
+INGEST_REPORT = struct(key=TEXT, region=TEXT, rows=LONG, error=TEXT, missing_columns=ArrayType(TEXT))
 
 # The columns each silver table must have, filled in.
 CRITICAL_COLUMNS = {

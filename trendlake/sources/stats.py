@@ -18,8 +18,9 @@ def read_stats_csv(
 ) -> DataFrame:
     """CSV files, every column as text.
 
-    ``multi_line`` reads fields that hold line breaks right, but then one file is one
-    task. Pass ``False`` for large files known to have none: they are split.
+    ``multi_line`` reads fields that hold line breaks right, which descriptions do, but then
+    one file is one task: land in bounded files, or pass ``False`` for files known to have
+    none, which are split.
     """
     reader = spark.read.schema(STATS_CSV).options(**_csv_options(multi_line))
     return only_regions(reader.csv(root), regions)
@@ -43,16 +44,18 @@ def stream_stats(
     root: str,
     layout: str = "csv",
     max_files_per_trigger: int | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> DataFrame:
-    """New files under ``root`` as a stream. Layout: ``csv``, ``api`` or ``parquet`` (CSV columns)."""
+    """New files under ``root`` as a stream. Layout: ``csv``, ``api`` or ``parquet`` (CSV columns).
+
+    ``multi_line`` as in the batch readers: by default on for CSV and off for the API layout."""
     reader = spark.readStream.schema(STATS_API if layout == "api" else STATS_CSV)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if layout == "csv":
-        return reader.options(**_csv_options(multi_line)).csv(root)
+        return reader.options(**_csv_options(multi_line is not False)).csv(root)
     if layout == "api":
-        return reader.json(root)
+        return reader.option("multiLine", bool(multi_line)).json(root)
     if layout == "parquet":
         return reader.parquet(root)
     raise ValueError(f"unknown layout '{layout}'")

@@ -2,26 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import logging
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from trendlake.functions import normalize_region
 
+log = logging.getLogger(__name__)
+
+TEXT_PARTITIONS = ("region",)  # directory names that are text whatever they look like
+
 
 def read_table(spark: SparkSession, name_or_path: str, merge_schema: bool = False) -> DataFrame:
     """A path (it has a ``/``) or a catalog table. ``merge_schema`` reads a path whose
-    later files have more columns."""
-    if "/" in name_or_path:
-        return spark.read.option("mergeSchema", merge_schema).parquet(name_or_path)
-    return spark.table(name_or_path)
+    later files have more columns. Regions stay text: ``01`` and ``1`` are two."""
+    if "/" not in name_or_path:
+        return spark.table(name_or_path)
+    df = spark.read.option("mergeSchema", merge_schema).parquet(name_or_path)
+    guessed = [f.name for f in df.schema if f.name in TEXT_PARTITIONS and f.dataType != StringType()]
+    if not guessed:
+        return df
+    fields = [StructField(f.name, StringType(), True) if f.name in guessed else f for f in df.schema]
+    return spark.read.schema(StructType(fields)).parquet(name_or_path)
 
 
 def read_optional(spark: SparkSession, name_or_path: str) -> DataFrame | None:
-    """Like ``read_table``, but ``None`` when the table is not there or not readable."""
+    """Like ``read_table``, but ``None`` when the table is not there or not readable.
+
+    The table is a small lookup: it is read once here, so that a broken file shows now and
+    not in the job that joins it.
+    """
     try:
-        return read_table(spark, name_or_path, merge_schema=True)
-    except AnalysisException:
+        df = read_table(spark, name_or_path, merge_schema=True)
+        df.write.format("noop").mode("overwrite").save()
+        return df
+    except (PySparkException, Py4JJavaError) as error:
+        log.warning("%s is not readable and is left out: %s", name_or_path, getattr(error, "java_exception", error))
         return None
 
 
@@ -29,4 +49,5 @@ def only_regions(df: DataFrame, regions: list[str] | None) -> DataFrame:
     """Keep the given regions. On a partition column this prunes directories."""
     if regions is None:
         return df
-    return df.where(normalize_region(F.col("region")).isin([r.strip().lower() for r in regions]))
+    wanted = normalize_region(F.col("region")).isin([r.strip().lower() for r in regions])
+    return df.where(wanted)
