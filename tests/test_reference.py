@@ -15,7 +15,7 @@ from trendlake.operators.reference import (
     parse_documents,
     silver_reference,
 )
-from trendlake.schemas import INGEST_REPORT
+from trendlake.schemas import REFERENCE_ITEM, INGEST_REPORT
 from trendlake.sources import read_reference_docs
 
 T0 = dt.datetime(2024, 1, 1)
@@ -55,11 +55,11 @@ def test_document_shapes(spark):
 @pytest.mark.parametrize(
     "value, error",
     [
-        ('{"items": [', "Malformed JSON document"),
-        ("", "Malformed JSON document"),
-        ("5", "Document is neither an object nor a list"),
-        ("null", "Document is neither an object nor a list"),
-        ('"items"', "Document is neither an object nor a list"),
+        ('{"items": [', "Not a JSON document"),
+        ("", "Not a JSON document"),
+        ("5", "Neither an object nor a list"),
+        ("null", "Neither an object nor a list"),
+        ('"items"', "Neither an object nor a list"),
         ('{"items": []}', EMPTY),
         ("{}", EMPTY),
         ("[]", EMPTY),
@@ -97,7 +97,7 @@ def test_dedupe_last_is_per_document(spark):
 
 def test_flatten_fixed_schema_ignores_unknown_fields(spark):
     items = explode_items(parse_documents(docs(spark, {"items": [item(7, "a", extra=1)]}), False))
-    row = flatten(items).drop("key", "region", "pos", "has_id").first()
+    row = flatten(items, REFERENCE_ITEM).drop("key", "region", "pos", "has_id").first()
     assert row.asDict() == {
         "kind": "k", "etag": "e", "id": "7", "snippet_channelId": "U", "snippet_title": "a", "snippet_assignable": True,
     }
@@ -134,7 +134,7 @@ def test_read_files(spark, tmp_path):
     (tmp_path / "region=us" / "u.json").write_text("{")
     found = {r.region: r for r in ingest_report(parse_documents(read_reference_docs(spark, str(tmp_path)))).collect()}
     assert found["ca"].rows == 1 and found["ca"].key.endswith("/region=ca/a b+c.json")
-    assert found[None].error == "Malformed JSON document"
+    assert found[None].error == "Not a JSON document"
 
 
 def test_region_is_normalised_like_the_statistics(spark):

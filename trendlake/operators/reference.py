@@ -18,7 +18,8 @@ from trendlake.schemas import REFERENCE_ITEM
 
 EMPTY = "No category items in the document"
 MALFORMED = "Not a JSON document"
-BAD_TEXT = {"columnNameOfCorruptRecord": "_bad", "maxStringLen": "2147483647"}
+LONG_TEXT = {"maxStringLen": "2147483647"}
+BAD_TEXT = {"columnNameOfCorruptRecord": "_bad", **LONG_TEXT}
 VARIANT_CHARS = 16 << 20  # texts from here on may be more than one variant holds
 REQUIRED = ("id", "snippet.title")  # fixed values: fields every item should have
 
@@ -33,22 +34,27 @@ def parse_documents(docs: DataFrame, key_is_uri: bool = True) -> DataFrame:
     first = F.substring(F.ltrim(F.col("value")), 1, 1)
     # Only split here, every item as text: a whole document may be larger than one variant can be.
     whole = F.from_json("value", "items array<string>, _bad string", BAD_TEXT)
-    top = F.from_json("value", "array<string>")
+    top = F.from_json("value", "array<string>", LONG_TEXT)
+    # An object whose items are no list is one item itself.
+    is_object = F.from_json("value", "map<string,string>", LONG_TEXT).isNotNull()
     parsed = docs.select(
         decode_key(F.col("path"), plus_is_blank=not key_is_uri).alias("key"),
         "modified",
         first.alias("first"),
         F.when(first == "{", F.col("value")).alias("object"),
         F.when(first == "{", whole).alias("whole"),
+        F.when(first == "{", F.when(whole["_bad"].isNotNull(), is_object)).alias("one_item"),
         F.when(first == "[", top).alias("list"),
+        F.when(~first.isin("[", "{"), F.try_parse_json(F.col("value"))).isNotNull().alias("scalar"),
     )
     texts = (
         F.when(F.col("first") == "[", F.col("list"))
-        .when(F.col("whole._bad").isNull(), F.coalesce("whole.items", F.array("object")))
+        .when(F.col("whole").isNotNull() & F.col("whole._bad").isNull(), F.coalesce("whole.items", F.array("object")))
+        .when(F.col("one_item"), F.array("object"))
     )
     # The statistics have lower-case regions, whatever the landing directory is called.
     region = normalize_region(region_from_key(F.col("key")))
-    parsed = parsed.select("key", region.alias("region"), "modified", "first", texts.alias("texts"))
+    parsed = parsed.select("key", region.alias("region"), "modified", "first", texts.alias("texts"), "scalar")
     parsed = parsed.withColumn("items", F.transform("texts", F.try_parse_json))
 
     def as_object(item: Column) -> Column:
@@ -59,8 +65,7 @@ def parse_documents(docs: DataFrame, key_is_uri: bool = True) -> DataFrame:
 
     too_large = F.exists("texts", lambda text: F.try_parse_json(text).isNull() & (F.length(text) > VARIANT_CHARS))
     error = (
-        F.when(F.col("first").isin("{", "[") & F.col("texts").isNull(), F.lit(MALFORMED))
-        .when(F.col("texts").isNull(), F.lit("Neither an object nor a list"))
+        F.when(F.col("texts").isNull(), F.when(F.col("scalar"), F.lit("Neither an object nor a list")).otherwise(F.lit(MALFORMED)))
         .when(too_large, F.lit("An item is over the parser's limit"))
         .when(F.exists("items", lambda item: as_object(item).isNull()), F.lit("Items are not all objects"))
         .when(~F.exists("items", lambda item: F.size(as_object(item)) > 0), F.lit(EMPTY))
