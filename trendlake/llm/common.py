@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendlake.session import delete_path, scratch_path
+
 # The bytes that separate words, [\x20\x09-\x0D].
 WORD_BREAKS = " \t\n\x0b\x0c\r"
 WORD_BREAK_PATTERN = r"[ \t\n\x0B\f\r]+"
@@ -50,3 +53,25 @@ def bind(df: DataFrame, **values: Column) -> DataFrame:
     merge with what reads the columns (lambdas would otherwise compute them for every element)."""
     bound = F.explode(F.array(F.struct(*[value.alias(name) for name, value in values.items()]))).alias("_bound")
     return df.select("*", bound).select(*[f"`{c}`" for c in df.columns], *[f"_bound.{name}" for name in values])
+
+
+class Passes:
+    """Intermediate tables of one operator in the shared scratch folder, dropped once later ones are written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Removes tables nothing reads any more, and lets Spark remove the shuffle files of their jobs,
+        which it does when the driver collects its garbage."""
+        for name in names:
+            delete_path(self.spark, self.paths.pop(name))
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()

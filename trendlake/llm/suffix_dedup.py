@@ -15,8 +15,9 @@ two members.
    passage begins or ends, against one of each different stretch with the same first digit.
 
 Every pass is a count by digit that combines before the shuffle and a join back, so a passage that a
-third of all documents share is never gathered in one task. Digits of stretches and suffixes have 64
-bits below an equal first digit and 128 bits; a false match has a chance below 1e-9 at 10^9 stretches.
+third of all documents share is never gathered in one task. The digits of stretches have 64
+bits below an equal first digit of 64, those of suffixes 96; a false match has a chance below 1e-9 at
+10^9 suffixes. Passes are written and the ones before dropped, so disk holds one pass at a time.
 
 Null counts as empty. Texts shorter than ``length`` lose nothing and repeat nothing. Rows are told
 apart by key and text hash; equal rows are each other's copies. Matches do not cross rows, and are
@@ -32,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import without
+from trendlake.llm.common import Passes, without
 from trendlake.operators.sizes import broadcast_if_small
 from trendlake.session import materialise
 
@@ -152,12 +153,12 @@ def _suffixes(docs: DataFrame, length: int) -> DataFrame:
                 mark = np.repeat(mark, size)
                 order = np.argsort(wanted, kind="stable")
                 one, two = sort.suffixes(_bytes(text), wanted[order])
-                columns = {"one": one, "two": two, "at": wanted[order], "mark": mark[order] > 0, "row": row}
+                columns = {"one": one, "two": two.astype(np.int32), "at": wanted[order], "mark": mark[order] > 0, "row": row}
                 out = pd.DataFrame(columns)
                 out["key"] = pd.array([None if pd.isna(key) else int(key)] * len(out), "Int64")
                 yield out
 
-    return docs.mapInPandas(find, "one long, two long, at int, mark boolean, row long, key long")
+    return docs.mapInPandas(find, "one long, two int, at int, mark boolean, row long, key long")
 
 
 def _with_texts(docs: DataFrame, small: DataFrame, how: str) -> DataFrame:
@@ -172,25 +173,30 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     ``docs`` has key, row (text hash) and text. Runs jobs at call time.
     """
     ids = ["key", "row", "first", "last"]
-    found = materialise(_stretches(docs, length), "sort-1")
-    grams = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("span").alias("s1"), F.max("span").alias("s2"))
-    grams = grams.where("n > 1").select("gram", (F.col("s1") != F.col("s2")).alias("mixed"))
-    found = materialise(found.join(grams, "gram"), "sort-2")
-    equal = found.where("not mixed").select(*ids)
-
-    mixed = found.where("mixed")
-    spans = mixed.groupBy("gram", "span").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*ids)).alias("one"))
-    spans = materialise(spans, "sort-3")
-    again = spans.where("n > 1").select("gram", "span")
-    equal = equal.union(mixed.join(again, ["gram", "span"], "left_semi").select(*ids))
-
+    passes = Passes(docs.sparkSession)
+    found = passes.write(_stretches(docs, length), "sort-1")
+    grams = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    found = passes.write(found.join(grams, "gram"), "sort-2")
+    passes.drop("sort-1")
+
+    spans = found.groupBy("gram", "span").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*ids)).alias("one"))
+    spans = passes.write(spans, "sort-3")
+    equal = found.join(spans.where("n > 1").select("gram", "span"), ["gram", "span"], "left_semi").select(*ids)
+    equal = passes.write(equal, "sort-equal")
+    passes.drop("sort-2")
+
+    mixed = spans.groupBy("gram").agg(F.count(F.lit(1)).alias("spans")).where("spans > 1").select("gram")
     part = F.struct("one.first", "one.last", (F.col("n") == 1).alias("mark"))
-    ranges = spans.groupBy(F.col("one.key").alias("_key"), F.col("one.row").alias("_row")).agg(F.collect_list(part).alias("ranges"))
-    texts = _with_texts(docs, materialise(ranges, "sort-ranges"), "inner")
-    suffixes = materialise(_suffixes(texts, length), "sort-4")
+    ranges = spans.join(mixed, "gram").groupBy(F.col("one.key").alias("_key"), F.col("one.row").alias("_row"))
+    ranges = passes.write(ranges.agg(F.collect_list(part).alias("ranges")), "sort-ranges")
+    suffixes = passes.write(_suffixes(_with_texts(docs, ranges, "inner"), length), "sort-4")
+    passes.drop("sort-3", "sort-ranges")
     twice = suffixes.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n"), F.max("mark").alias("mark")).where("n > 1 and mark")
-    hits = suffixes.where("mark").join(twice.select("one", "two"), ["one", "two"], "left_semi")
-    hits = hits.select("key", "row", F.col("at").alias("first"), F.col("at").alias("last"))
+    twice = passes.write(twice.select("one", "two"), "sort-twice")
+    passes.drop()
+    hits = suffixes.where("mark").join(twice, ["one", "two"], "left_semi")
+    hits = passes.write(hits.select("key", "row", F.col("at").alias("first"), F.col("at").alias("last")), "sort-hits")
+    passes.drop("sort-4", "sort-twice")
     return equal.union(hits)
 
 
