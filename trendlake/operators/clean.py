@@ -20,7 +20,7 @@ from trendlake.functions import (
 )
 from trendlake.schemas import CANONICAL, MEASURES, VIDEO_KEY
 
-# Canonical column -> path of the field in the API layout.
+# Canonical column -> path of the field in the API layout.
 API_FIELDS = {
     "title": "snippet.title",
     "channel_title": "snippet.channelTitle",
