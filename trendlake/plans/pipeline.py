@@ -16,7 +16,7 @@ from trendlake.operators.clean import add_ratios, cleanse, silver_statistics, st
 from trendlake.operators.enrich import attach_category, build_lookup
 from trendlake.operators.reference import ingest_report, parse_documents, report_alerts, silver_reference
 from trendlake.schemas import INGEST_REPORT
-from trendlake.session import materialise
+from trendlake.session import materialise, release
 from trendlake.sinks import overwrite_partitions, write_partitioned
 from trendlake.sources import read_optional, read_table
 from trendlake.streaming.ingest import MERGE_PARTITIONS, merge_latest, publish
@@ -120,15 +120,13 @@ def silver_to_gold(
         "channel_analytics": (gold.channel_analytics, False),
         "category_analytics": (gold.category_analytics, True),
     }
-    return {
-        name: write_partitioned(
-            gold.stamp(build(enriched), as_of),
-            f"{root}/{name}",
-            rebalance=rebalance,
-            table=f"{database}.{name}" if database else None,
-        )
-        for name, (build, rebalance) in builders.items()
-    }
+    written = {}
+    for name, (build, rebalance) in builders.items():
+        rows = build(enriched)
+        table = f"{database}.{name}" if database else None
+        written[name] = write_partitioned(gold.stamp(rows, as_of), f"{root}/{name}", rebalance=rebalance, table=table)
+        release(rows, "rank", "share")
+    return written
 
 
 def run(

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger(__name__)
+
 # Settings the library is tuned for; every one is a plain Spark setting.
 RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -40,6 +43,9 @@ def scratch_root(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
+        if folder.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            # Right only where every machine mounts the folder; nothing here can tell.
+            log.warning("the scratch folder %s must be a mount that all executors share", folder)
         return folder.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
         folder = tempfile.mkdtemp(prefix="trendlake-")
@@ -83,3 +89,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _filesystem(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def release(df: DataFrame, *names: str) -> None:
+    """Deletes the written intermediates of these names that ``df`` reads, once its rows are elsewhere."""
+    spark = df.sparkSession
+    root = f"{scratch_root(spark)}/trendlake/"
+    for file in df.inputFiles():
+        _, found, rest = file.partition("/trendlake/")
+        folder = rest.split("/")[0]
+        if found and folder.rpartition("-")[0] in names and path_exists(spark, root + folder):
+            delete_path(spark, root + folder)
