@@ -33,6 +33,7 @@ FIT_ROWS = 8000  # labelled rows the vectors and the network are fitted on, abou
 BUCKETS = 1 << 15
 DIM = 128
 NONZERO = 8
+TOGETHER = 512  # buckets added up in one group
 REACH = 2  # neighbours on either side
 CACHED = 1 << 18
 TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -87,17 +88,20 @@ def word_vectors(sample: DataFrame, text: str = "text") -> np.ndarray:
         sums = _contexts((t for batch in batches for t in batch.iloc[:, 0]), index_vectors())
         some = np.flatnonzero(sums.any(axis=1))
         if len(some):
-            yield pd.DataFrame({"bucket": some, "sums": [sums[b].tobytes() for b in some]})
+            yield pd.DataFrame({"part": some // TOGETHER, "bucket": some, "sums": [sums[b].tobytes() for b in some]})
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(s, np.int64) for s in group["sums"]], axis=0)
-        return pd.DataFrame({"bucket": group["bucket"].iloc[:1], "sums": [total.astype(np.int64).tobytes()]})
+        buckets, which = np.unique(group["bucket"].to_numpy(), return_inverse=True)
+        total = np.zeros((len(buckets), DIM), np.int64)
+        for at, sums in zip(which, group["sums"]):
+            total[at] += np.frombuffer(sums, np.int64)
+        return pd.DataFrame({"part": buckets // TOGETHER, "bucket": buckets, "sums": [t.tobytes() for t in total]})
 
-    schema = "bucket long, sums binary"
+    schema = "part long, bucket long, sums binary"
     parts = sample.select(f"`{text}`").mapInPandas(partial, schema)
     index = index_vectors().astype(np.float32)
     context = np.zeros_like(index)
-    for row in parts.groupBy("bucket").applyInPandas(add, schema).toLocalIterator():
+    for row in parts.groupBy("part").applyInPandas(add, schema).select("bucket", "sums").collect():  # BUCKETS rows
         context[row["bucket"]] = np.frombuffer(row["sums"], np.int64)
     unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
     return (unit(index) + unit(context)).astype(np.float16)
