@@ -25,17 +25,10 @@ from trendlake.session import materialise
 MAX_DOCS = 100  # documents of one host that may hold the same line
 MIN_KEPT = 0.3  # share of the words that must remain
 MIN_WORDS = 5
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
-
-
-def _only(text: Column, characters: str) -> Column:
-    """How many of ``characters`` are in the text."""
-    return F.length(text) - F.length(F.translate(text, characters, ""))
-
-
-def word_chars(text: Column) -> Column:
-    return F.length(F.translate(text, WORD_BREAKS, "")).cast("long")
+SPACES = r"[ \t\x0B\f\r]+"
+UNEVEN = r"[\t\x0B\f\r]|  "
 
 
 def text_figures(df: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -47,11 +40,11 @@ def text_figures(df: DataFrame, text: str = "text", window: int = WINDOW) -> Dat
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     kept = [f"`{c}`" for c in without(df, *names).columns]
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    lines = F.filter(F.split(value, "\n"), lambda line: F.length(F.translate(line, WORD_BREAKS, "")) > 0)
+    lines = F.filter(F.split(value, "\n"), lambda line: F.btrim(line, F.lit(WORD_BREAKS)) != "")
     rows = bind(df, _words=words(value), _lines=lines)
     n = F.size("_words")
-    starts = F.when(n >= window, F.sequence(F.lit(1), n - (window - 1))).otherwise(F.array().cast("array<int>"))
-    keys = F.transform(starts, lambda i: F.xxhash64(*[F.get("_words", i - 1 + k) for k in range(window)]))
+    starts = F.when(n >= window, F.sequence(F.lit(0), n - window)).otherwise(F.array().cast("array<int>"))
+    keys = F.transform(starts, lambda i: F.xxhash64(*[F.get("_words", i + k if k else i) for k in range(window)]))
     rows = bind(rows, _keys=keys)
     some = F.size(F.array_distinct("_keys")) < F.size("_keys")
     none = F.array().cast("array<struct<key: bigint, at: int>>")
@@ -64,29 +57,42 @@ def text_figures(df: DataFrame, text: str = "text", window: int = WINDOW) -> Dat
     return rows.select(
         *kept,
         n.cast("long").alias("n_words"),
-        word_chars(value).alias("word_chars"),
-        _only(value, SYMBOLS).cast("long").alias("n_symbols"),
+        F.aggregate("_words", F.lit(0).cast("long"), lambda total, w: total + F.length(w)).alias("word_chars"),
+        F.regexp_count(value, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.aggregate(covered, F.lit(0).cast("long"), lambda total, p: total + p).alias("n_repeat_words"),
     )
 
 
+def _digits_alike(text: Column) -> Column:
+    return F.when(text.rlike("[0-9]"), F.regexp_replace(text, "[0-9]+", "0")).otherwise(text)
+
+
 def normal_line(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"\d+", "0"), WORD_BREAK_PATTERN, " "))
+    return F.trim(F.regexp_replace(_digits_alike(F.lower(line)), WORD_BREAK_PATTERN, " "))
 
 
 def _lines(text: Column) -> Column:
     """(line hash, words) of every line that has any, in order."""
-    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), normal_line)
-    return F.transform(
-        F.filter(lines, lambda x: x != ""), lambda x: F.struct(F.xxhash64(x).alias("line"), F.size(F.split(x, " ")).alias("n"))
-    )
+    # Normalised before it is split: one call a text instead of one a line.
+    whole = _digits_alike(F.lower(F.coalesce(text, F.lit(""))))
+    plain = F.when(whole.rlike(UNEVEN), F.regexp_replace(whole, SPACES, " ")).otherwise(whole)
+    lines = F.filter(F.transform(F.split(plain, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    # One blank between words.
+    n = lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1
+    return F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("line"), n(x).alias("n")))
+
+
+def with_lines(df: DataFrame, text: str = "text") -> DataFrame:
+    """``df`` with what ``remove_common_lines`` needs of the text: its hash and (line hash, words) of its lines."""
+    value = F.col(f"`{text}`")
+    return bind(df, _row=F.xxhash64(value), _found=_lines(value))
 
 
-def common_lines(df: DataFrame, text: str = "text", host: str = "source", max_docs: int = MAX_DOCS) -> DataFrame:
+def common_lines(rows: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
     """(host, line, docs) of the normalised lines that more than ``max_docs`` documents of a host hold."""
-    hashes = F.array_distinct(F.transform(_lines(F.col(f"`{text}`")), lambda x: x["line"]))
-    rows = df.select(F.col(f"`{host}`").alias("host"), F.explode(hashes).alias("line"))
+    hashes = F.array_distinct(F.transform("_found", lambda x: x["line"]))
+    rows = rows.select("_host", F.explode(hashes).alias("line")).withColumnRenamed("_host", "host")
     return rows.groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > max_docs)
 
 
@@ -104,21 +110,23 @@ def remove_common_lines(
     without the removed lines (null if null). Runs one counting job at call time.
 
     Rows are matched by key, host and text, so equal rows get equal results and a null key is a key.
+    ``df`` may come from ``with_lines`` and need no text then, unless ``clean_text`` is wanted.
     """
+    if "_found" not in df.columns:
+        df = with_lines(df, text)
     names = ["n_lines_removed", "n_words_kept", "depleted"] + ([clean_text] if clean_text else [])
-    found = materialise(common_lines(df, text, host, max_docs), "common-lines")
-    value = F.col(f"`{text}`")
-    identity = {"_key": F.col(f"`{key}`"), "_host": F.col(f"`{host}`"), "_row": F.xxhash64(value)}
+    identity = {"_key": F.col(f"`{key}`"), "_host": F.col(f"`{host}`"), "_row": F.col("_row")}
+    narrow = materialise(df.select(*[c.alias(n) for n, c in identity.items()], "_found"), "lines")
+    found = materialise(common_lines(narrow, max_docs), "common-lines")
 
-    held = df.select(*[c.alias(n) for n, c in identity.items()], F.explode(F.array_distinct(_lines(value))).alias("_found"))
-    held = held.select("_key", "_host", "_row", F.col("_found.line").alias("_line"))
+    held = narrow.select("_key", "_host", "_row", F.explode(F.array_distinct(F.transform("_found", lambda x: x["line"]))).alias("_line"))
     small = broadcast_if_small(found.select(F.col("host").alias("_common_host"), F.col("line").alias("_common_line")))
     held = held.join(small, F.col("_host").eqNullSafe(F.col("_common_host")) & (F.col("_line") == F.col("_common_line")), "inner")
     removed = held.groupBy("_key", "_host", "_row").agg(F.collect_set("_line").alias("_removed"))
     removed = removed.withColumnsRenamed({n: f"{n}_r" for n in identity})
 
-    kept = [f"`{c}`" for c in without(df, *names).columns]
-    rows = df.select(*kept, *[c.alias(n) for n, c in identity.items()], _lines(value).alias("_lines"))
+    kept = [f"`{c}`" for c in without(df, "_row", "_found", *names).columns]
+    rows = df.select(*kept, *[c.alias(n) for n, c in identity.items()], F.col("_found").alias("_lines"))
     same = F.lit(True)
     for n in identity:
         same = same & F.col(n).eqNullSafe(F.col(f"{n}_r"))
@@ -132,11 +140,11 @@ def remove_common_lines(
         F.size("_gone").cast("long").alias("n_lines_removed"),
         left.alias("n_words_kept"),
         ((left < min_words) | (left < min_kept * total(F.col("_lines")))).alias("depleted"),
-        *([_without_lines(value).alias(clean_text)] if clean_text else []),
+        *([_without_lines(F.col(f"`{text}`")).alias(clean_text)] if clean_text else []),
     )
     return out
 
 
 def _without_lines(text: Column) -> Column:
-    kept = F.filter(F.split(text, "\n"), lambda x: ~F.coalesce(F.array_contains("_removed", F.xxhash64(normal_line(x))), F.lit(False)))
+    kept = F.filter(F.split(text, "\n"), lambda x: (normal_line(x) == "") | ~F.coalesce(F.array_contains("_removed", F.xxhash64(normal_line(x))), F.lit(False)))
     return F.array_join(kept, "\n")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trendlake.llm import bpe, exact_dedup, html_text, language, line_rules, mixing, near_dedup, quality_model, secrets, suffix_dedup
 from trendlake.llm.common import fold, read
+from trendlake.session import materialise
 
 TOKENIZER = "word_bpe_49k.json"
 REJECT_BELOW = 0.3
@@ -70,8 +71,8 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = line_rules.text_figures(_documents(spark, sf_dir, "doc_id", "text", "source"))
-    found = line_rules.remove_common_lines(docs)
+    docs = line_rules.with_lines(line_rules.text_figures(_documents(spark, sf_dir, "doc_id", "text", "source"))).drop("text")
+    found = line_rules.remove_common_lines(materialise(docs, "line-figures"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return found.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
