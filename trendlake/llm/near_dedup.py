@@ -7,10 +7,11 @@ coordinate, its earliest dart. Darts depend on the element only, so two sets sha
 dart with the probability of their (weighted) Jaccard similarity. Darts are looked for only as deep
 as a set needs to fill all coordinates: few per element for large sets.
 
-Signatures are cut into bands; sets that share a band meet. Each meets the smallest and largest set
-of the band's bucket, and the similarity of such pairs is computed exactly. Where a bucket's sets are
-still in different groups, those are compared too, except pairs that the distances to the two
-leaders rule out (1 - similarity is a metric). Groups are connected components of pairs at or above
+Signatures are cut into bands; sets that share a band meet. Each meets the leader of
+the band's bucket, the set that meets most others (of an edited text, the original), and the
+similarity of such pairs is computed exactly. Where a bucket's sets are still in different groups,
+those are compared too, block by block inside tasks that give out similar pairs only, except sets of
+which too many elements are in no other set left. Groups are connected components of pairs at or above
 the threshold. At the default 28 bands of 4 a pair of similarity 0.8 shares no band with probability
 below 4e-7.
 
@@ -39,7 +40,8 @@ WINDOW = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 28, 4
 CACHED = 1 << 17
-FIRST = 1 / 64  # rank at which the first slab ends; slabs double up to 1 and are 1 wide from there
+BLOCK = 256  # sets of one cluster compared with as many others in one task
+FIRST = 1 / 8  # rank at which the first slab ends; slabs double up to 1 and are 1 wide from there
 U64 = np.uint64
 GOLDEN = 0x9E3779B97F4A7C15
 STEP = U64(GOLDEN)
@@ -87,7 +89,7 @@ def _poisson_steps(mean: float) -> np.ndarray:
     return np.cumsum(terms)
 
 
-STEPS = {width: _poisson_steps(width) for width in (FIRST, *(FIRST * 2**n for n in range(6)), 1.0)}
+STEPS = {width: _poisson_steps(width) for width in (FIRST, *(FIRST * 2**n for n in range(3)), 1.0)}
 
 
 def _slabs(start: int, depth: float) -> list[tuple[int, float, float]]:
@@ -97,10 +99,10 @@ def _slabs(start: int, depth: float) -> list[tuple[int, float, float]]:
     while True:
         if number == 0:
             low, width = 0.0, FIRST
-        elif number <= 6:
+        elif number <= 3:
             low = width = FIRST * 2 ** (number - 1)
         else:
-            low, width = float(number - 6), 1.0
+            low, width = float(number - 3), 1.0
         if out and low >= depth:
             return out
         out.append((number, low, width))
@@ -118,7 +120,7 @@ def darts(elements: np.ndarray, weights: np.ndarray | None, k: int) -> np.ndarra
         cells = np.where(layer == 0, elements[at], _mix(elements[at] + STEP * layer.astype(U64)))
         height = weights[at] - layer  # the top layer may be thinner than 1
     total = len(cells) if height is None else float(np.minimum(height, 1).sum())
-    depth, start = (k * np.log(k) + 2 * k) / total, 0
+    depth, start = k * (np.log(k) + 0.6) / total, 0
     rank, won = np.full(k, np.inf), np.zeros(k, U64)
     while True:
         slabs = _slabs(start, depth)
@@ -128,7 +130,7 @@ def darts(elements: np.ndarray, weights: np.ndarray | None, k: int) -> np.ndarra
             keys = np.array([s[0] for s in group], U64)
             low = np.array([s[1] for s in group])
             cell = _mix(cells[:, None] ^ _mix(STEP * (keys[None, :] + U64(1))))
-            number = np.searchsorted(STEPS[width], _unit(_mix(cell + STEP)))
+            number = np.searchsorted(STEPS[width], _unit(cell))
             n = 0
             while (has := np.nonzero(number > n))[0].size:
                 dart = _mix(cell[has] + U64(GOLDEN * (n + 2) % 2**64))
@@ -257,18 +259,21 @@ def near_groups(
     nodes = materialise(nodes.select("node", "one.key", "one.row", "bands"), "near-nodes")
 
     met = nodes.select("node", F.explode("bands").alias("band"))
-    leaders = met.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    met = materialise(met.join(leaders, "band"), "near-met")  # (band, node, low, high) of buckets with several sets
-    pairs = met.select("node", F.explode(F.array("low", "high")).alias("leader")).where("node <> leader")
-    pairs = materialise(pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct(), "near-pairs")
+    buckets = met.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    met = materialise(met.join(buckets, "band"), "near-met")  # sets in buckets with several
+    degree = met.groupBy("node").agg(F.sum("size").alias("degree"))
+    met = met.join(degree, "node")
+    leaders = met.groupBy("band").agg(F.max(F.struct("degree", "node"))["node"].alias("leader"))
+    met = materialise(met.select("band", "node").join(leaders, "band"), "near-led")
+    pairs = met.where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+    pairs = materialise(pairs.distinct(), "near-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = _sets_of(docs, nodes, wanted, weighting)
     compared = materialise(_compared(pairs, sets, weighting), "near-compared")
     edges = compared.where(F.col("similarity") >= similarity).select("a", "b")
     labels = connected(edges)
 
-    rest = _open_pairs(met, labels, compared, similarity)
-    more = materialise(_compared(rest, sets, weighting).where(F.col("similarity") >= similarity), "near-more")
+    more = materialise(_open_links(pairs, labels, sets, similarity, weighting), "near-more")
     if not more.isEmpty():
         labels = connected(edges.union(more.select("a", "b")))
 
@@ -287,23 +292,82 @@ def near_groups(
     )
 
 
-def _open_pairs(met: DataFrame, labels: DataFrame, compared: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of one bucket whose sets are still in different groups and may yet be similar."""
-    known = met.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    split = known.groupBy("band").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2")
-    known = known.join(split.select("band"), "band", "left_semi")
-    both_ways = compared.select(F.col("a").alias("node"), F.col("b").alias("leader"), "similarity").union(
-        compared.select(F.col("b").alias("node"), F.col("a").alias("leader"), "similarity")
+def _shared_weight(sets: DataFrame, weighting: str) -> DataFrame:
+    """(node, total, shared): the weight of a set, and of its elements that another of ``sets`` has too."""
+    weight = F.lit(1.0) if weighting == "set" else F.col("w")
+    weights = F.transform("elements", lambda e: F.lit(1.0)) if weighting == "set" else F.col("weights")
+    each = sets.select("node", F.explode(F.arrays_zip(F.col("elements").alias("e"), weights.alias("w"))).alias("x"))
+    each = each.select("node", "x.e", "x.w")
+    alone = each.groupBy("e").agg(F.count(F.lit(1)).alias("sets"), F.first("node").alias("node"), F.first("w").alias("w")).where("sets = 1")
+    total = each.groupBy("node").agg(F.sum(weight).alias("total"))
+    lost = alone.groupBy("node").agg(F.sum(weight).alias("lost"))
+    return total.join(lost, "node", "left").select("node", "total", (F.col("total") - F.coalesce("lost", F.lit(0.0))).alias("shared"))
+
+
+def _open_links(pairs: DataFrame, labels: DataFrame, sets: DataFrame, similarity: float, weighting: str) -> DataFrame:
+    """Similar pairs (a, b) among sets that met, directly or through others, and are in different groups.
+
+    What met is a cluster. Clusters in several groups are compared in blocks of about ``BLOCK`` sets,
+    every block with every other, inside tasks that give out similar pairs only.
+    """
+    clusters = connected(pairs).withColumnRenamed("component", "cluster")
+    members = clusters.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    members = materialise(members, "near-clusters")
+    ends = lambda rows: rows.groupBy("cluster").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2")
+    members = members.join(ends(members).select("cluster"), "cluster", "left_semi")
+    members = materialise(members, "near-open")
+    left = sets.join(members.select("node"), "node", "left_semi")
+    members = members.join(_shared_weight(left, weighting), "node")
+    # What two sets share is at most what either shares with any: a bound on a partner's weight.
+    most = F.col("shared") * (1 + 1 / similarity) - F.col("total") + 1e-6
+    least = members.groupBy("cluster").agg(F.min("total").alias("least"))
+    members = materialise(members.join(least, "cluster").where(most >= F.col("least")).select("cluster", "node", "component"), "near-open")
+    size = ends(members).select("cluster").join(members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "cluster")
+    parts = max(1, members.count() // BLOCK)
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    members = members.join(size, "cluster").withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("node"), blocks).cast("int")})
+    # A large cluster's set goes to the pairs of blocks its own is in; small clusters share a task.
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    alone = F.col("blocks") == 1
+    place = F.when(alone, F.pmod(F.xxhash64("cluster"), F.lit(parts)).cast("string")).otherwise(F.hex("cluster"))
+    members = members.select(
+        "node", "cluster", "component", place.alias("place"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
-    for name in ("low", "high"):
-        side = both_ways.select("node", F.col("leader").alias(name), (1 - F.col("similarity")).alias(f"from_{name}"))
-        known = known.join(side, ["node", name], "left").withColumn(f"from_{name}", F.coalesce(f"from_{name}", F.lit(0.0)))
-    known = materialise(known.where("node <> low and node <> high").select("band", "node", "component", "from_low", "from_high"), "near-open")
-    other = known.toDF("band", "node2", "component2", "from_low2", "from_high2")
-    reach = 1 - similarity + 1e-9
-    near = (F.abs(F.col("from_low") - F.col("from_low2")) <= reach) & (F.abs(F.col("from_high") - F.col("from_high2")) <= reach)
-    found = known.join(other, "band").where((F.col("node") < F.col("node2")) & (F.col("component") != F.col("component2")) & near)
-    return found.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
+    rows = members.join(sets, "node")
+
+    def similar(group: pd.DataFrame) -> pd.DataFrame:
+        found = [pair for _, part in group.groupby("cluster", sort=False) for pair in _similar_pairs(part, similarity)]
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return rows.groupBy("place", "low", "high").applyInPandas(similar, "a binary, b binary").distinct()
+
+
+def _similar_pairs(part: pd.DataFrame, similarity: float) -> list[tuple[bytes, bytes]]:
+    """Exact similarities of all sets of ``part`` at once, by the elements that two of them share."""
+    elements, owners = [], []
+    for n, (found, weights) in enumerate(zip(part["elements"], part["weights"])):
+        found = np.asarray(found, np.int64).view(U64)
+        if weights is not None:  # whole counts: each copy of an element is an element
+            times = np.asarray(weights).astype(np.int64)
+            copy = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            found = _mix(np.repeat(found, times) + STEP * copy.astype(U64))
+        elements.append(found)
+        owners.append(np.full(len(found), n))
+    total = np.array([len(e) for e in elements], np.float64)
+    _, which, times = np.unique(np.concatenate(elements), return_inverse=True, return_counts=True)
+    owner, shared = np.concatenate(owners), times[which] > 1
+    column = np.cumsum(times > 1)[which[shared]] - 1
+    owner = owner[shared]
+    both = np.zeros((len(part), len(part)), np.float32)
+    for at in range(0, int(column.max(initial=-1)) + 1, 4096):
+        some = (column >= at) & (column < at + 4096)
+        held = np.zeros((len(part), 4096), np.float32)
+        held[owner[some], column[some] - at] = 1
+        both += held @ held.T
+    both = both.astype(np.float64)
+    near = np.triu(both / (total[:, None] + total[None, :] - both) >= similarity, 1)
+    node, group = part["node"].tolist(), part["component"].tolist()
+    return [tuple(sorted((node[i], node[j]))) for i, j in zip(*np.nonzero(near)) if group[i] != group[j]]
 
 
 def drop_near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
