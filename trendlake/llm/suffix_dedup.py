@@ -39,6 +39,7 @@ from trendlake.session import materialise
 
 LENGTH = 200
 CHUNK = 1 << 18  # suffixes looked at together
+ROWS = 1000  # texts whose stretches are given out together
 PLACE_BITS = 20
 BROADCAST_BYTES = 16 << 20
 U64 = np.uint64
@@ -128,7 +129,7 @@ def _bytes(text: str | None) -> np.ndarray:
 def _stretches(docs: DataFrame, length: int) -> DataFrame:
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sort = Suffixes(length)
-        for batch in batches:
+        for batch in (whole.iloc[at : at + ROWS] for whole in batches for at in range(0, len(whole), ROWS)):
             found = [sort.stretches(_bytes(t)) for t in batch["text"]]
             times = [len(f[0]) for f in found]
             columns = [np.concatenate(c) for c in zip(*found)] if found else []
@@ -176,8 +177,10 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     passes = Passes(docs.sparkSession)
     found = passes.write(_stretches(docs, length), "sort-1")
     grams = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    # Written, so that the join has plain shuffles on both sides: only then is a hot digit split.
+    grams = passes.write(grams, "sort-grams")
     found = passes.write(found.join(grams, "gram"), "sort-2")
-    passes.drop("sort-1")
+    passes.drop("sort-1", "sort-grams")
 
     spans = found.groupBy("gram", "span").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*ids)).alias("one"))
     spans = passes.write(spans, "sort-3")
