@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -43,6 +44,7 @@ from trendlake.session import scratch_path
 from trendlake.sinks import overwrite_partitions, write_partitioned
 from trendlake.sources import (
     read_reference_docs,
+    read_stats,
     read_stats_api,
     read_stats_csv,
     read_table,
@@ -399,6 +401,24 @@ def stream_ingest_blank_regions(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, f"{target}/silver").groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
 
 
+def catalog_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw statistics registered in the catalog and read by name, pruned by region."""
+    name = f"raw_{uuid.uuid4().hex}"
+    raw = fx.stats_raw(spark, sf).withColumn("region", normalize_region(F.col("region")))
+    write_partitioned(raw, scratch_path(spark, "catalog"), table=name)
+    found = read_stats(spark, name, [" CLICK", "view"])
+    return found.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("video_id").alias("videos"))
+
+
+def stream_ingest_api(spark: SparkSession, sf: str) -> DataFrame:
+    """API rows from a stream, on a run date given from outside."""
+    source, target = scratch_path(spark, "api-in"), scratch_path(spark, "api-out")
+    fx.stats_api(spark, sf).write.partitionBy("region").json(source)
+    ingest_stats(stream_stats(spark, source, layout="api"), f"{target}/silver", scratch_path(spark, "api-state"), run_date=RUN_DATE)
+    kept = read_table(spark, f"{target}/silver")
+    return kept.groupBy("video_id", "region", "trending_date_parsed").agg(F.count(F.lit(1)).alias("n"))
+
+
 def stream_ingest_reference(spark: SparkSession, sf: str) -> DataFrame:
     source, target = scratch_path(spark, "docs-in"), scratch_path(spark, "docs-out")
     fx.landed_docs(spark, sf).write.partitionBy("region").text(f"{source}/raw")
@@ -515,6 +535,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_ingest_csv": stream_ingest_csv,
         "stream_ingest_reference": stream_ingest_reference,
         "reference_all_fields": reference_all_fields,
+        "stream_ingest_api": stream_ingest_api,
+        "catalog_roundtrip": catalog_roundtrip,
         "stream_ingest_blank_regions": stream_ingest_blank_regions,
         "pipeline_incremental": pipeline_incremental,
         "pipeline_bad_documents": pipeline_bad_documents,
@@ -754,6 +776,10 @@ def _own_sql() -> dict[str, str]:
             raw.comment_count, CAST(NULL AS VARCHAR) AS thumbnail_link, false AS comments_disabled,
             false AS ratings_disabled, false AS video_error_or_removed, 'text' AS description, raw.region
             FROM raw JOIN events e USING (event_id)""",
+        "stream_ingest_api": """SELECT user_id || '-' || event_id AS video_id, event_type AS region,
+            DATE '2024-01-31' AS trending_date_parsed, count(*) AS n FROM events GROUP BY ALL""",
+        "catalog_roundtrip": f"""WITH {_RAW} SELECT region, count(*) AS n, count(DISTINCT video_id) AS videos
+            FROM raw WHERE region IN ('click', 'view') GROUP BY region""",
         "region_pruned_scan": f"""WITH {_RAW} SELECT region, count(*) AS n, count(DISTINCT video_id) AS videos
             FROM raw WHERE region IN ('click', 'view') GROUP BY region""",
         "parse_mixed_date": r"""SELECT trending_date, parsed, count(*) AS n FROM (
