@@ -17,15 +17,17 @@ import re
 import struct
 import unicodedata
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlake.llm.common import without
 
-CACHED = 1 << 19  # entries a task keeps of each cache
+ROWS = 256  # texts converted together
+CACHED = 1 << 18  # entries a task keeps of each cache
 CACHED_CHARS = 64  # longer words are not kept
 SHORT = 32  # symbols up to which a list is searched for the next pair; longer fragments use a heap
 NO_PAIR = 1 << 30  # above every rank
@@ -71,16 +73,13 @@ class ForcedBoundaryBpe:
     """``spec`` is the JSON text of a word-end BPE tokenizer (NFC, one space, lower case; byte-level)."""
 
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer
-
         parts = json.loads(spec)
-        self.tables = Tokenizer.from_str(spec)  # only for the normaliser and splitter of unusual texts
+        self.spec = spec
         vocabulary = parts["model"]["vocab"]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in parts["model"]["merges"]]
         self.rank = {(a, b): n for n, (a, b) in enumerate(pairs)}
         self.ids = vocabulary
         self.special = {t["content"]: t["id"] for t in parts["added_tokens"]}
-        self.tokens = {i: t for t, i in [*vocabulary.items(), *self.special.items()]}
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.pieces = re.compile(_usual(parts["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]))
         self.symbols = _byte_symbols()
@@ -99,6 +98,13 @@ class ForcedBoundaryBpe:
                 at_end.add(token[: -len(WORD_END)][-2:])
         return inside, at_end
 
+    @cached_property
+    def tables(self):
+        """The library's own normaliser and splitter, for unusual texts."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self.spec)
+
     def _encode_piece(self, text: str) -> bytes:
         """The ids of text without special tokens."""
         if UNUSUAL.search(text):
@@ -188,9 +194,25 @@ class ForcedBoundaryBpe:
                     heapq.heappush(heap, (fresh, left))
         return [t for t in parts if t]
 
-    def decode(self, ids: bytes) -> str:
-        tokens = self.tokens
-        return " ".join([tokens[i] for i in np.frombuffer(ids, IDS).tolist() if i in tokens])
+
+def token_texts(spec: str) -> list[str | None]:
+    """The text of each id."""
+    parts = json.loads(spec)
+    texts = {i: t for t, i in parts["model"]["vocab"].items()} | {t["id"]: t["content"] for t in parts["added_tokens"]}
+    return [texts.get(i) for i in range(max(texts) + 1)]
+
+
+def decode(ids: bytes | None, texts: list[str | None]) -> str:
+    found = [texts[i] for i in np.frombuffer(ids or b"", IDS).tolist() if i < len(texts)]
+    return " ".join([t for t in found if t is not None] if None in found else found)
+
+
+def _converted(values: pa.Array, convert, kind: pa.DataType) -> pa.Array:
+    """Some rows at a time: a batch of long texts is held once, as Arrow, and not again as objects."""
+    parts = [
+        pa.array([convert(v) for v in values.slice(at, ROWS).to_pylist()], kind) for at in range(0, len(values), ROWS)
+    ]
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
 
 def _model(spark: SparkSession, path: str):
@@ -202,11 +224,11 @@ def _model(spark: SparkSession, path: str):
 def encoder(spark: SparkSession, path: str):
     spec = _model(spark, path)
 
-    @F.pandas_udf("binary")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("binary")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = ForcedBoundaryBpe(spec.value)
         for texts in batches:
-            yield pd.Series([model.encode(t) for t in texts], dtype=object)
+            yield _converted(texts, model.encode, pa.binary())
 
     return encode
 
@@ -214,13 +236,13 @@ def encoder(spark: SparkSession, path: str):
 def decoder(spark: SparkSession, path: str):
     spec = _model(spark, path)
 
-    @F.pandas_udf("string")
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = ForcedBoundaryBpe(spec.value)
+    @F.arrow_udf("string")
+    def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        texts = token_texts(spec.value)
         for ids in batches:
-            yield pd.Series([model.decode(i or b"") for i in ids], dtype=object)
+            yield _converted(ids, lambda i: decode(i, texts), pa.string())
 
-    return decode
+    return decoded
 
 
 def n_ids(ids: Column) -> Column:
