@@ -7,9 +7,9 @@ is the threshold, and from the body down every branch at or above the threshold
 largest sum as content. An ``article`` or ``main`` around the centre is taken whole, otherwise
 headings beside the centre's path are added: titles are short, so their own density is low.
 
-Elements that are never content by their kind (menus, forms, scripts, footers, ...) or by the words
-of their class, id or role (adverts, notices, comments, ...) carry no characters. Character
-references are decoded; within a block white space becomes one space and is trimmed; blocks are
+Elements that are never content by their kind (menus, scripts, footers, ...) carry no characters.
+Forms, and elements with certain words in class, id or role (adverts, notices, comments, ...), carry
+none either unless that would take the content itself: see ``_strike``. Character references are decoded; within a block white space becomes one space and is trimmed; blocks are
 joined in page order by one line break. A null, empty or wholly excluded page gives the empty text.
 Broken markup is read leniently: unclosed elements end with their parent, stray end tags and
 unfinished tags are ignored. Pages of any length are read whole, in one pass over a flat list of
@@ -32,10 +32,11 @@ from trendlake.llm.common import without
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg math".split())
+RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg annotation annotation-xml".split())
 SKIPPED = RAW | frozenset(
-    "head nav footer aside form button select option datalist fieldset legend label input menu dialog object audio video canvas map".split()
+    "head nav footer aside button select option datalist legend label input menu object audio video canvas map".split()
 )
+MAYBE = frozenset({"form", "fieldset", "dialog"})  # content only where they wrap it
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td "
@@ -56,7 +57,9 @@ IMPLIED = {
 # Formatting inside a line makes no node of its own: its text belongs to the block around it.
 INLINE = frozenset(
     "abbr acronym b bdi bdo big br cite code data del dfn em font hr i img ins kbd mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "strike strong sub sup time tt u var wbr "
+    "math menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt "
+    "mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 HEADINGS = frozenset({"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"})
 FENCES = frozenset({"table", "td", "th", "caption", "button", "object", "template", "html", "body", "article", "section", "div"})
@@ -68,7 +71,11 @@ NOISE = frozenset(
     "promotion related replies reply respond search share sharing sidebar sidebars signup skip social sponsor sponsored "
     "sponsors subscribe subscription taboola toolbar topbar widget widgets discussion alert".split()
 )
+# Words for text that readers or the site's lawyers wrote: they name what a block holds, not how it is laid out.
+REPLIES = frozenset("comment comments commentlist disqus replies reply respond discussion cookie cookies consent gdpr".split())
+TITLED = frozenset("entry post article story news page content section main".split())  # whose header is the title
 KEPT_KINDS = frozenset({"article", "main", "body", "html"})
+MOST, SMALL, LITTLE = 0.5, 0.05, 50  # shares of the characters outside links; characters
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 UNFINISHED = re.compile(r"<(?:/?[a-zA-Z]|!)[^>]*\Z")
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -76,31 +83,51 @@ PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 GAPS = re.compile(r"\s+")
 
 
-def _is_noise(tag: str, attributes: str, in_article: bool) -> bool:
+def _is_noise(tag: str, attributes: str) -> bool:
+    """Never content: by its kind or because it is not shown."""
     if tag in SKIPPED:
         return True
-    if tag == "header" and not in_article:
-        return True
     if tag in KEPT_KINDS or not attributes:
         return False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return True
-        if name == "role" and value.lower() in ROLES:
-            return True
-        if name in ("class", "id") and not NOISE.isdisjoint(p.lower() for p in PART.findall(value)):
-            return True
         if name == "style" and "display:none" in value.replace(" ", "").lower():
             return True
     return False
 
 
+def _doubt(tag: str, attributes: str, in_article: bool) -> tuple[frozenset[str] | None, bool]:
+    """What speaks against an element (words, role, kind), None if nothing; and whether it is the header of a text."""
+    if tag in KEPT_KINDS:
+        return None, False
+    found, titled = set(), in_article and tag == "header"
+    if tag in MAYBE:
+        found.add(f"<{tag}>")
+    for name, value in ATTRIBUTE.findall(attributes):
+        name = name.lower()
+        if name == "role" and (role := value.strip("\"'").lower()) in ROLES:
+            found.add(f"role {role}")
+        if name in ("class", "id"):
+            parts = {p.lower() for p in PART.findall(value)}
+            words = parts & NOISE
+            if (tag == "header" or "header" in words) and (in_article or not TITLED.isdisjoint(parts)):
+                words.discard("header")
+                titled = True
+            found |= words
+    if tag == "header" and not titled:
+        found.add("<header>")
+    return frozenset(found) or None, titled
+
+
 class _Tree:
-    """Nodes in page order: tag, parent, noise; and the pieces of text with the node they stand in."""
+    """Nodes in page order: tag, parent, noise, doubt; and the pieces of text with the node they stand in."""
 
     def __init__(self, page: str):
         self.tag, self.parent, self.noise, self.in_article = ["html"], [-1], [False], [False]
+        self.doubt: list[frozenset[str] | None] = [None]
+        self.titled = [False]
         self.still_open: Counter[str] = Counter()
         self.pieces: list[tuple[int, str | None]] = []  # None: a block begins or ends here
         self.body = 0
@@ -117,7 +144,10 @@ class _Tree:
         self.in_article.append(in_article or tag in ("article", "main"))
         self.tag.append(tag)
         self.parent.append(here)
-        self.noise.append(self.noise[here] or _is_noise(tag, attributes, in_article))
+        self.noise.append(self.noise[here] or _is_noise(tag, attributes))
+        doubt, titled = _doubt(tag, attributes, in_article)
+        self.doubt.append(doubt)
+        self.titled.append(titled)
         node = len(self.tag) - 1
         if tag == "body":
             self.body = node
@@ -156,7 +186,7 @@ class _Tree:
                 if found[0].startswith("<![CDATA["):
                     self.pieces.append((stack[-1], html.escape(found[0][9:-3])))
                 continue
-            if tag in INLINE and not (attributes and not closing and _is_noise(tag, attributes, True)):
+            if tag in INLINE and not (attributes and not closing and (_is_noise(tag, attributes) or _doubt(tag, attributes, True)[0])):
                 if tag in BLOCK:
                     self.pieces.append((stack[-1], None))
                 if closing and self.tag[stack[-1]] == tag:
@@ -193,9 +223,69 @@ def _density(chars: int, tags: int, link_chars: int, link_tags: int, whole_chars
     return chars / tags * math.log(max(inside, 1.0)) / math.log(max(base, 1.0001)) if base > 1 else chars / tags * math.log(max(inside, 1.0) + 1)
 
 
+def _strike(tree: _Tree, children: list[list[int]]) -> None:
+    """Makes noise of the doubtful nodes that do not wrap the content.
+
+    Doubtful nodes are judged from the outside in, those with the same words within one article (or the
+    body) together. They stay if they hold most of its characters outside links; with words of replies
+    and notices only if next to nothing else is left. Outside the articles they go if an article or main
+    element is kept, and stay if they hold the page's only one.
+    """
+    n, body = len(tree.tag), tree.body
+    chars, links, articles = [0] * n, [0] * n, [0] * n
+    scope, in_link = [body] * n, [False] * n
+    for node in range(1, n):
+        above = tree.parent[node]
+        in_link[node] = tree.tag[node] == "a" or in_link[above]
+        kept_kind = tree.tag[node] in ("article", "main")
+        scope[node] = above if tree.tag[above] in ("article", "main") else scope[above]
+        articles[node] = int(kept_kind and not tree.in_article[above] and not tree.noise[node])
+    for node, text in tree.pieces:
+        if text and not tree.noise[node] and (size := len(GAPS.sub(" ", text).strip())):
+            chars[node] += size
+            links[node] += size * in_link[node]
+    for node in range(n - 1, 0, -1):
+        above = tree.parent[node]
+        for sums in (chars, links, articles):
+            sums[above] += sums[node]
+    plain = [c - k for c, k in zip(chars, links)] if chars[0] > links[0] else chars
+    kept, todo = 0, [0]
+    while todo:
+        groups: dict[tuple[int, frozenset[str]], list[int]] = {}
+        while todo:
+            for node in children[todo.pop()]:
+                if tree.noise[node]:
+                    continue
+                if tree.doubt[node]:
+                    groups.setdefault((scope[node], tree.doubt[node]), []).append(node)
+                    continue
+                if tree.tag[node] in ("article", "main"):
+                    kept = max(kept, plain[node])
+                todo.append(node)
+        for (around, words), nodes in groups.items():
+            share, whole = sum(plain[k] for k in nodes), plain[around]
+            outside = tree.tag[around] not in ("article", "main")
+            stays = share > MOST * whole and (words.isdisjoint(REPLIES) or whole - share < LITTLE)
+            if outside and kept and kept >= SMALL * whole:
+                stays = False
+            for node in nodes:
+                wraps = outside and not kept and articles[node] == articles[body] == 1 and plain[node] >= SMALL * whole
+                if stays or (wraps and words.isdisjoint(REPLIES)):
+                    todo.append(node)
+                else:
+                    tree.noise[node] = True
+    for node in range(1, n):
+        tree.noise[node] = tree.noise[node] or tree.noise[tree.parent[node]]
+
+
 def _content(tree: _Tree) -> list[bool]:
     """For each node whether it is inside the selected content."""
     n = len(tree.tag)
+    children: list[list[int]] = [[] for _ in range(n)]
+    for node in range(1, n):
+        children[tree.parent[node]].append(node)
+    if any(tree.doubt):
+        _strike(tree, children)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     in_link = [False] * n
     for node in range(1, n):
@@ -232,9 +322,6 @@ def _content(tree: _Tree) -> list[bool]:
     chosen = [False] * n
     path = _above(tree, centre)
     todo = [body]
-    children: list[list[int]] = [[] for _ in range(n)]
-    for node in range(1, n):
-        children[tree.parent[node]].append(node)
     while todo:
         node = todo.pop()
         if tree.noise[node] or not chars[node] or density[node] < threshold:
@@ -253,7 +340,7 @@ def _content(tree: _Tree) -> list[bool]:
 
 
 def _complete(tree: _Tree, centre: int, children: list[list[int]], chosen: list[bool]) -> None:
-    """An article element around the centre is content as a whole; else the headings beside its path are."""
+    """An article element around the centre is content as a whole; else the headings and headers beside its path are."""
     path = sorted(_above(tree, centre), reverse=True)
     for node in path:
         if tree.tag[node] in ("article", "main"):
@@ -263,7 +350,7 @@ def _complete(tree: _Tree, centre: int, children: list[list[int]], chosen: list[
         if node == tree.body:
             return
         for beside in children[tree.parent[node]] if node else ():
-            if tree.tag[beside] in HEADINGS:
+            if tree.tag[beside] in HEADINGS or tree.titled[beside]:
                 chosen[beside] = True
 
 
