@@ -3,7 +3,8 @@
 The guess cost of a value is the least sum of bits over its segmentations into common words (also
 with digits for letters), dates, repeats, keyboard walks and brute-force spans, found by dynamic
 programming. It is applied to values that stand where credentials stand (``pwd: ...``,
-``https://user:...@host``, ``Bearer ...``); those costing at least ``MIN_BITS`` are reported as
+``https://user:...@host``, ``Bearer ...``,
+``Authorization: Basic ...``); those costing at least ``MIN_BITS`` are reported as
 ``guess`` beside the fixed kinds, unless a fixed ``assign`` span already covers them.
 
 Positions are code points, the end exclusive. Null counts as empty: no spans. Whole texts are
@@ -39,7 +40,7 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "login", "://")
 CONTEXT = re.compile(
     r"""(?ai:(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|private|secret|auth)[_-]?key|credentials?|auth|login)"""
-    r"""[_\w-]{0,16}["']?[ \t]{0,4}(?:=>|:=|[:=]|\bis\b)[ \t]{0,4}["']?|bearer[ \t]+)([^\s"'<>,;]{6,})"""
+    r"""[_\w-]{0,16}["']?[ \t]{0,4}(?:=>|:=|[:=]|\bis\b)[ \t]{0,4}["']?(?:(?:bearer|basic|token)[ \t]++)?+|bearer[ \t]+)([^\s"'<>,;]{6,})"""
 )
 URL_PASSWORD = re.compile(r"""://[^\s/:@"']{1,64}:([^\s/@"']{6,})@""")
 TRAILING = ".,;:!?)]}"
