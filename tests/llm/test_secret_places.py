@@ -19,3 +19,23 @@ def test_header_forms(form, scheme):
 
 def test_schemes_alone():
     assert values(f"Bearer {VALUE}") == [VALUE] and values("Authorization: Bearer") == [] and values("Authorization: Bearer \nnext") == []
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "pwd        = %s",
+        "pwd\t\t\t\t\t\t:\t\t\t\t\t\t'%s'",
+        "pass_for_the_production_database_of_the_company: %s",
+        "redis://:%s@host/0",
+        "https://" + "u" * 80 + ":%s@host",
+        "login: pass: %s",
+    ],
+)
+def test_values_far_from_their_word(text):
+    assert values(text % VALUE) == [VALUE]
+
+
+def test_long_names_and_values_take_linear_time():
+    for text in ("token_" * 50000, "pass=" * 2000, "pwd" + " " * 10**6 + "x", "://" * 10**5, "token_" * 50000 + " = " + VALUE):
+        assert secrets.scan(text) == [] or text.endswith(VALUE)

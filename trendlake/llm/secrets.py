@@ -38,11 +38,15 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 # Where credentials stand, beyond the base kind.
 CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "login", "://")
-CONTEXT = re.compile(
+KEY = re.compile(
     r"""(?ai:(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|private|secret|auth)[_-]?key|credentials?|auth|login)"""
-    r"""[_\w-]{0,16}["']?[ \t]{0,4}(?:=>|:=|[:=]|\bis\b)[ \t]{0,4}["']?(?:(?:bearer|basic|token)[ \t]++)?+|bearer[ \t]+)([^\s"'<>,;]{6,})"""
+    r"""|(bearer[ \t]++))"""
 )
-URL_PASSWORD = re.compile(r"""://[^\s/:@"']{1,64}:([^\s/@"']{6,})@""")
+KEY_END = re.compile(r"[\w-]*+", re.A)
+SEPARATOR = re.compile(r"""(?ai:["']?[ \t]*+(?:=>|:=|[:=]|\bis\b)[ \t]*+["']?(?:(?:bearer|basic|token)[ \t]++)?+)""")
+VALUE = re.compile(r"""[^\s"'<>,;]++""")
+URL_PASSWORD = re.compile(r"""://[^\s/:@"']*+:([^\s/@"']++)@""")
+LEAST_VALUE = 6
 TRAILING = ".,;:!?)]}"
 
 # Common words of passwords, most frequent first.
@@ -125,6 +129,32 @@ def guess_bits(value: str) -> float:
     return spent[n]
 
 
+def _values(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of the values that stand where credentials stand.
+
+    A name, the separator after it and a value are each read once, however many key words the name
+    or the value holds; a value's tail behind a further key word is part of that value.
+    """
+    name_end, start, value_end = -1, None, -1
+    for key in KEY.finditer(text):
+        if key[1]:
+            at = key.end()
+        else:
+            if key.end() > name_end:
+                name_end = KEY_END.match(text, key.end()).end()
+                found = SEPARATOR.match(text, name_end)
+                start = found and found.end()
+            at = start
+        if at is None or at < value_end or not (value := VALUE.match(text, at)):
+            continue
+        value_end = value.end()
+        if value_end - at >= LEAST_VALUE:
+            yield at, value_end
+    for url in URL_PASSWORD.finditer(text):
+        if len(url[1]) >= LEAST_VALUE:
+            yield url.span(1)
+
+
 def scan(text: str | None, min_bits: float = MIN_BITS) -> list[tuple[str, int, int, float | None]]:
     """(kind, start, end, bits) by start, then kind as listed; bits only for ``assign`` and ``guess``."""
     if not text:
@@ -142,13 +172,12 @@ def scan(text: str | None, min_bits: float = MIN_BITS) -> list[tuple[str, int, i
     found += [("hex", *m.span(), None) for m in LONG_HEX.finditer(text)]
     if any(w in low for w in CONTEXT_WORDS):
         seen = set()
-        for pattern in (CONTEXT, URL_PASSWORD):
-            for m in pattern.finditer(text):
-                start, end = m.start(1), m.start(1) + len(m[1].rstrip(TRAILING))
-                covered = (start, end) in seen or any(a < end and start < b for a, b in assigned)
-                if end > start and not covered and (bits := guess_bits(text[start:end])) >= min_bits:
-                    seen.add((start, end))
-                    found.append(("guess", start, end, bits))
+        for start, end in _values(text):
+            end = start + len(text[start:end].rstrip(TRAILING))
+            covered = (start, end) in seen or any(a < end and start < b for a, b in assigned)
+            if end > start and not covered and (bits := guess_bits(text[start:end])) >= min_bits:
+                seen.add((start, end))
+                found.append(("guess", start, end, bits))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
