@@ -39,3 +39,10 @@ def test_values_far_from_their_word(text):
 def test_long_names_and_values_take_linear_time():
     for text in ("token_" * 50000, "pass=" * 2000, "pwd" + " " * 10**6 + "x", "://" * 10**5, "token_" * 50000 + " = " + VALUE):
         assert secrets.scan(text) == [] or text.endswith(VALUE)
+
+
+def test_values_that_go_on_behind_an_assign_span():
+    text = 'password="Abcdefgh!9xQ#v" token=' + VALUE
+    assert values(text, "assign") == ['password="Abcdefgh', "token=" + VALUE]
+    assert values(text) == ["Abcdefgh!9xQ#v"]
+    assert values(f"password={VALUE}.") == []

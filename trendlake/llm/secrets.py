@@ -5,7 +5,7 @@ with digits for letters), dates, repeats, keyboard walks and brute-force spans,
 programming. It is applied to values that stand where credentials stand (``pwd: ...``,
 ``https://user:...@host``, ``Bearer ...``,
 ``Authorization: Basic ...``); those costing at least ``MIN_BITS`` are reported as
-``guess`` beside the fixed kinds, unless a fixed ``assign`` span already covers them.
+``guess`` beside the fixed kinds, unless the value of a fixed ``assign`` span holds all of them.
 
 Positions are code points, the end exclusive. Null counts as empty: no spans. Whole texts are
 scanned; the cost of a value grows in proportion to its length.
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -174,7 +175,8 @@ def scan(text: str | None, min_bits: float = MIN_BITS) -> list[tuple[str, int, i
         seen = set()
         for start, end in _values(text):
             end = start + len(text[start:end].rstrip(TRAILING))
-            covered = (start, end) in seen or any(a < end and start < b for a, b in assigned)
+            last = bisect_right(assigned, (start, math.inf)) - 1
+            covered = (start, end) in seen or (last >= 0 and end <= assigned[last][1])
             if end > start and not covered and (bits := guess_bits(text[start:end])) >= min_bits:
                 seen.add((start, end))
                 found.append(("guess", start, end, bits))
