@@ -1,6 +1,7 @@
 """Places where credentials stand, and values of any form in them."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from trendlake.llm import secrets
 
@@ -46,3 +47,24 @@ def test_values_that_go_on_behind_an_assign_span():
     assert values(text, "assign") == ['password="Abcdefgh', "token=" + VALUE]
     assert values(text) == ["Abcdefgh!9xQ#v"]
     assert values(f"password={VALUE}.") == []
+
+
+def test_ordinary_words_are_no_secrets(spark):
+    prose = "The passenger is travelling with Margaret Lindqvist to a remarkable neighbourhood, says the Secretary"
+    rows = [(i, prose) for i in range(5)]
+    rows += [(10, "passenger is travelling. Author: Margaret"), (11, "The secretary is remarkable"), (12, "login: MargaretLindqvist")]
+    rows += [(20, f"passenger_pwd = {VALUE}"), (21, "pass: qkvjxwzrtbp"), (22, "dbAuth: kT9xQ2vL#m8Z")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).withColumn("nr", F.lit("mine"))
+    many = secrets.find_secrets(table).collect()
+    each = secrets.find_secrets(table, max_words=0).collect()
+    key = lambda r: r["doc_id"]
+    assert sorted(many, key=key) == sorted(each, key=key) and len(many) == len(rows)
+    found = {r["doc_id"]: [r["text"][s["start"] : s["end"]] for s in r["secrets"] if s["kind"] == "guess"] for r in many}
+    assert {k: v for k, v in found.items() if v} == {20: [VALUE], 21: ["qkvjxwzrtbp"], 22: ["kT9xQ2vL#m8Z"]}
+
+
+def test_key_words_within_other_words():
+    for text in ("passenger is Przybyszewski", "Author: Przybyszewskaja", "secretary: Przybyszewskaja", "PASSENGER IS PRZYBYSZEWSKI"):
+        assert values(text) == []
+    for text in ("auth_user: %s", "authUser: %s", "passengerPass: %s", "passvalue = %s", "secrets: %s"):
+        assert values(text % VALUE) == [VALUE]

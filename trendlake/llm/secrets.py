@@ -1,7 +1,7 @@
 """Secrets in texts: fixed patterns, and values that would be costly to guess.
 
-The guess cost of a value is the least sum of bits over its segmentations into common words (also
-with digits for letters), dates, repeats, keyboard walks and brute-force spans, found by dynamic
+The guess cost of a value is the least sum of bits over its segmentations into words of passwords and
+of the corpus itself, by their rank (also with digits for letters), dates, repeats, keyboard walks and brute-force spans, found by dynamic
 programming. It is applied to values that stand where credentials stand (``pwd: ...``,
 ``https://user:...@host``, ``Bearer ...``,
 ``Authorization: Basic ...``); those costing at least ``MIN_BITS`` are reported as
@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendlake.llm.common import without
+from trendlake.session import materialise
 
 KINDS = ("assign", "access", "hex", "guess")
 MIN_BITS = 45.0
@@ -40,8 +42,10 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # Where credentials stand, beyond the base kind.
 CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "login", "://")
 KEY = re.compile(
-    r"""(?ai:(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|private|secret|auth)[_-]?key|credentials?|auth|login)"""
-    r"""|(bearer[ \t]++))"""
+    r"""(?ai:pass(?:word|wd|phrase|code|key)|pwd|(?:api|access|private|secret|auth)[_-]?key)|(?P<bearer>(?ai:bearer)[ \t]++)"""
+    r"""|(?ai:(?:pass|secret|token|credential|auth(?:orization|entication)?|login)s?)"""
+    # The word ends here, or goes on as another one: passenger, author, secretary.
+    r"""(?:(?![^\W\d_])|(?<=[a-z])(?=[A-Z])|(?P<goes_on>))"""
 )
 KEY_END = re.compile(r"[\w-]*+", re.A)
 SEPARATOR = re.compile(r"""(?ai:["']?[ \t]*+(?:=>|:=|[:=]|\bis\b)[ \t]*+["']?(?:(?:bearer|basic|token)[ \t]++)?+)""")
@@ -62,6 +66,12 @@ WORDS = (
 ).split()
 WORD_BITS = {w: math.log2(n + 2) for n, w in reversed(list(enumerate(WORDS)))}
 WORD_LENGTHS = sorted({len(w) for w in WORDS})
+# Words of the corpus: runs of so many letters, in so many documents outside the places of credentials.
+SHORTEST, LONGEST, LEAST_DOCS = 3, 40, 3
+ALL_LENGTHS = sorted({*WORD_LENGTHS, *range(SHORTEST, LONGEST + 1)})
+MAX_WORDS = 300_000  # words sent to every task; beyond that each row is joined with its own
+STEPS = 8  # steps of word frequency per power of two; words of one step have one rank
+RUN, LETTERS = re.compile(r"\w++"), re.compile(r"[^\W\d_]++")
 LEET = str.maketrans("40381$57@!|", "aoeblssta" + "il")
 KEY_ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 DATE = re.compile(
@@ -89,13 +99,21 @@ def _letter_bits(value: str) -> float:
     return math.log2(next((n for pattern, n in ALPHABETS if pattern.match(value)), 94))
 
 
-def guess_bits(value: str) -> float:
-    """log2 of the guesses for ``value`` along its cheapest segmentation; 0 for the empty value."""
-    n = len(value)
+def _lowered(value: str) -> str:
     low = value.lower()
-    if len(low) != n:  # a letter whose small form is longer
-        low = value
+    return low if len(low) == len(value) else value  # a letter whose small form is longer
+
+
+def guess_bits(value: str, words: dict[str, float] | None = None) -> float:
+    """log2 of the guesses for ``value`` along its cheapest segmentation; 0 for the empty value.
+
+    ``words``: the bits of further words, of ``SHORTEST`` to ``LONGEST`` letters.
+    """
+    n = len(value)
+    low = _lowered(value)
     plain = low.translate(LEET)
+    words = words or {}
+    lengths = ALL_LENGTHS if words else WORD_LENGTHS
     letter = _letter_bits(value)
     ends: dict[int, list[tuple[int, float]]] = {}
     for found in DATE.finditer(value):
@@ -107,11 +125,12 @@ def guess_bits(value: str) -> float:
     for j in range(1, n + 1):
         forced[j] = min(forced[j - 1], spent[j - 1] + (SPLIT_BITS if j > 1 else 0)) + letter
         best = forced[j]
-        for length in WORD_LENGTHS:
+        for length in lengths:
             i = j - length
             if i < 0:
                 break
-            if (bits := WORD_BITS.get(plain[i:j])) is not None:
+            word = plain[i:j]
+            if (bits := min(WORD_BITS.get(word, math.inf), words.get(word, math.inf))) < math.inf:
                 bits += (value[i:j] != low[i:j]) + 2 * (low[i:j] != plain[i:j])
                 best = min(best, spent[i] + (SPLIT_BITS if i else 0) + bits)
         for i, bits in ends.get(j, ()):
@@ -130,22 +149,27 @@ def guess_bits(value: str) -> float:
     return spent[n]
 
 
+def _has_places(low: str) -> bool:
+    return any(w in low for w in CONTEXT_WORDS)
+
+
 def _values(text: str) -> Iterator[tuple[int, int]]:
     """Spans of the values that stand where credentials stand.
 
     A name, the separator after it and a value are each read once, however many key words the name
-    or the value holds; a value's tail behind a further key word is part of that value.
+    or the value holds; a value's tail behind a further key word is part of that value. Where the key
+    word only begins another word the separator must be one of program text.
     """
-    name_end, start, value_end = -1, None, -1
+    name_end, found, start, value_end = -1, None, None, -1
     for key in KEY.finditer(text):
-        if key[1]:
+        if key["bearer"]:
             at = key.end()
         else:
             if key.end() > name_end:
                 name_end = KEY_END.match(text, key.end()).end()
                 found = SEPARATOR.match(text, name_end)
                 start = found and found.end()
-            at = start
+            at = start if key["goes_on"] is None or (found and "=" in found[0]) else None
         if at is None or at < value_end or not (value := VALUE.match(text, at)):
             continue
         value_end = value.end()
@@ -156,7 +180,7 @@ def _values(text: str) -> Iterator[tuple[int, int]]:
             yield url.span(1)
 
 
-def scan(text: str | None, min_bits: float = MIN_BITS) -> list[tuple[str, int, int, float | None]]:
+def scan(text: str | None, min_bits: float = MIN_BITS, words: dict[str, float] | None = None) -> list[tuple[str, int, int, float | None]]:
     """(kind, start, end, bits) by start, then kind as listed; bits only for ``assign`` and ``guess``."""
     if not text:
         return []
@@ -167,17 +191,17 @@ def scan(text: str | None, min_bits: float = MIN_BITS) -> list[tuple[str, int, i
         for m in ASSIGN.finditer(text):
             if len(m[1]) >= LEAST["assign"]:
                 assigned.append(m.span(1))
-                found.append(("assign", *m.span(), guess_bits(m[1])))
+                found.append(("assign", *m.span(), guess_bits(m[1], words)))
     if "AKIA" in text:
         found += [("access", *m.span(), None) for m in ACCESS.finditer(text) if len(m[0]) >= LEAST["access"]]
     found += [("hex", *m.span(), None) for m in LONG_HEX.finditer(text)]
-    if any(w in low for w in CONTEXT_WORDS):
+    if _has_places(low):
         seen = set()
         for start, end in _values(text):
             end = start + len(text[start:end].rstrip(TRAILING))
             last = bisect_right(assigned, (start, math.inf)) - 1
             covered = (start, end) in seen or (last >= 0 and end <= assigned[last][1])
-            if end > start and not covered and (bits := guess_bits(text[start:end])) >= min_bits:
+            if end > start and not covered and (bits := guess_bits(text[start:end], words)) >= min_bits:
                 seen.add((start, end))
                 found.append(("guess", start, end, bits))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
@@ -187,13 +211,114 @@ def scan(text: str | None, min_bits: float = MIN_BITS) -> list[tuple[str, int, i
 LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{%d,}" % LEAST["hex"])
 
 
-def find_secrets(df: DataFrame, text: str = "text", out: str = "secrets", min_bits: float = MIN_BITS) -> DataFrame:
-    """``df`` with ``out``: array of (kind, start, end, bits) of every whole text."""
+def _words_and_values(text: str) -> tuple[set[str], list[str]]:
+    """The words outside the places of credentials, and the values in them."""
+    low = text.lower()
+    spans = sorted(_values(text)) if _has_places(low) else []
+    if any(w in low for w in ASSIGN_WORDS):
+        spans = sorted(spans + [m.span(1) for m in ASSIGN.finditer(text) if len(m[1]) >= LEAST["assign"]])
+    if spans:
+        parts, at = [], 0
+        for start, end in spans:
+            parts.append(text[at:start])
+            at = max(at, end)
+        low = " ".join([*parts, text[at:]]).lower()
+    runs = {w for w in set(RUN.findall(low)) if SHORTEST <= len(w) <= LONGEST and w.isalpha()}
+    return runs, [text[start:end] for start, end in spans]
+
+
+def _pieces(value: str) -> set[str]:
+    """The runs of letters in a value that may be words of the corpus."""
+    plain = _lowered(value).translate(LEET)
+    found = set()
+    for piece in LETTERS.findall(plain):
+        n = len(piece)
+        found.update(piece[i:j] for i in range(n - SHORTEST + 1) for j in range(i + SHORTEST, min(n, i + LONGEST) + 1))
+    return found
+
+
+def corpus_words(df: DataFrame, text: str = "text") -> tuple[DataFrame, dict[int, float]]:
+    """(word, step, asked) of the corpus's words, and the bits of each step of frequency.
+
+    ``asked``: whether some value holds the word. One pass over the text; what it gives is added up
+    per task and written to the scratch folder.
+    """
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        docs: Counter[str] = Counter()
+        asked: set[str] = set()
+
+        def flush() -> pd.DataFrame:
+            rows = list(docs.keys() | asked)
+            out = pd.DataFrame({"word": rows, "docs": [docs[w] for w in rows], "asked": [w in asked for w in rows]})
+            docs.clear()
+            asked.clear()
+            return out
+
+        for batch in batches:
+            for t in batch["text"]:
+                if t:
+                    runs, values = _words_and_values(t)
+                    docs.update(runs)
+                    for value in values:
+                        asked |= _pieces(value)
+                    if len(docs) + len(asked) > 100_000:
+                        yield flush()
+        if docs or asked:
+            yield flush()
+
+    parts = df.select(F.col(f"`{text}`").alias("text")).mapInPandas(counted, "word string, docs long, asked boolean")
+    summed = parts.groupBy("word").agg(F.sum("docs").alias("docs"), F.max("asked").alias("asked")).where(F.col("docs") >= LEAST_DOCS)
+    words = materialise(summed.select("word", F.floor(F.log2("docs") * STEPS).cast("int").alias("step"), "asked"), "secret-words")
+    bits, before = {}, 0
+    for row in sorted(words.groupBy("step").count().collect(), key=lambda r: -r["step"]):
+        bits[row["step"]] = math.log2(before + row["count"] / 2 + 2)
+        before += row["count"]
+    return words, bits
+
+
+def find_secrets(
+    df: DataFrame, text: str = "text", out: str = "secrets", min_bits: float = MIN_BITS, max_words: int = MAX_WORDS
+) -> DataFrame:
+    """``df`` with ``out``: array of (kind, start, end, bits) of every whole text.
+
+    Words are priced by their rank in the whole of ``df``. Only those that some value holds are looked
+    at; up to ``max_words`` of them are sent to every task.
+    """
+    names = ("kind", "start", "end", "bits")
+    spans = "array<struct<kind: string, start: long, end: long, bits: double>>"
+    words, bits = corpus_words(df, text)
+    asked = words.where("asked").select("word", "step")
+    rows = asked.limit(max_words + 1).collect()
+    kept = without(df, out)
+    if len(rows) <= max_words:
+        known = df.sparkSession.sparkContext.broadcast({r["word"]: bits[r["step"]] for r in rows})
+
+        @F.pandas_udf(spans)
+        def secrets(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for texts in batches:
+                yield pd.Series([[dict(zip(names, s)) for s in scan(t, min_bits, known.value)] for t in texts], dtype=object)
+
+        return kept.withColumn(out, secrets(F.col(f"`{text}`")))
+
+    @F.pandas_udf("array<string>")
+    def pieces(texts: pd.Series) -> pd.Series:
+        return pd.Series([sorted(set().union(*map(_pieces, _words_and_values(t)[1]))) if t else [] for t in texts], dtype=object)
 
-    @F.pandas_udf("array<struct<kind: string, start: long, end: long, bits: double>>")
-    def secrets(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        names = ("kind", "start", "end", "bits")
-        for texts in batches:
-            yield pd.Series([[dict(zip(names, s)) for s in scan(t, min_bits)] for t in texts], dtype=object)
+    @F.pandas_udf(spans)
+    def secrets_of(texts: pd.Series, own: pd.Series, steps: pd.Series) -> pd.Series:
+        found = []
+        for t, w, k in zip(texts, own, steps):
+            priced = {} if w is None else {x: bits[y] for x, y in zip(w, k)}
+            found.append([dict(zip(names, s)) for s in scan(t, min_bits, priced)])
+        return pd.Series(found, dtype=object)
 
-    return without(df, out).withColumn(out, secrets(F.col(f"`{text}`")))
+    # The row is one column here, so that no name of its columns can be in the way.
+    numbered = kept.select(F.struct(*[f"`{c}`" for c in kept.columns]).alias("row"), F.col(f"`{text}`").alias("text"))
+    numbered = materialise(numbered.withColumn("nr", F.monotonically_increasing_id()), "secret-rows")
+    held = numbered.select("nr", F.explode(pieces("text")).alias("word")).join(asked, "word")
+    held = held.groupBy("nr").agg(F.collect_list(F.struct("word", "step")).alias("held"))
+    joined = numbered.join(held, "nr", "left")
+    return joined.select("row", secrets_of("text", F.col("held.word"), F.col("held.step")).alias("found")).select(
+        *[F.col("row")[c].alias(c) for c in kept.columns], F.col("found").alias(out)
+    )
