@@ -36,6 +36,20 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[f"`{c}`" for c in df.columns if c.lower() not in taken])
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names`` as they are where ``df`` has no such column, else with a number (ignoring case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        free, n = f"_{name}", 0
+        while free.lower() in taken:
+            n += 1
+            free = f"_{name}{n}"
+        taken.add(free.lower())
+        out.append(free)
+    return out
+
+
 def bounded_rows(df: DataFrame, rows: int, order_key: Sequence[str]) -> DataFrame:
     """About ``rows`` rows of ``df``, the same ones in every run: those with the smallest hashes of the key.
 

@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm import bpe, exact_dedup, html_text, language, line_rules, mixing, near_dedup, quality_model, secrets, suffix_dedup
-from trendlake.llm.common import fold, read
+from trendlake.llm import (
+    bpe,
+    decontamination,
+    exact_dedup,
+    html_text,
+    language,
+    line_rules,
+    mixing,
+    near_dedup,
+    periodic_runs,
+    phrases,
+    quality_model,
+    secrets,
+    suffix_dedup,
+)
+from trendlake.llm.common import bind, fold, read, words
 from trendlake.session import materialise
 
 TOKENIZER = "word_bpe_49k.json"
@@ -117,6 +131,55 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = read(spark, sf_dir, "benchmark", "item_id", "text")
+    found = decontamination.mark_contaminated(_documents(spark, sf_dir, "doc_id", "text"), benchmark)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = phrases.frequent_phrases(_documents(spark, sf_dir, "lang", "text"))
+    found = phrases.top_collocations(phrases.collocations(counts), 2000)
+    return found.select(F.col("grp").alias("lang"), F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+
+
+def planted_period(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) in which one text of ten has a periodic end, as told by its id."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    own = bind(docs.withColumn("g", F.floor(h / 10).cast("long")).withColumn("chosen", h % 10 == 0), words=F.when(F.col("chosen"), words(F.col("text"))))
+    n = F.size("words").cast("long")
+    own = own.withColumn("a", F.when(n > 0, F.col("g") % n))
+    own = own.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    moved = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get("words", place(i).cast("int")))
+    return own.select("doc_id", F.when(F.col("chosen") & (n > 0), F.array_join(moved, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.mark_runs(planted_period(_documents(spark, sf_dir, "doc_id", "text")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    out = found.select("doc_id", "runs", "collapsed", longest.alias("best"), F.array_join(lines, "").alias("lines"))
+    length, period = F.col("best.length").cast("long"), -F.col("best.col3").cast("long")
+    return out.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.col2").cast("long")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
@@ -129,6 +192,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_dedup": op8_near_dedup,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_decontamination": op11_decontamination,
+        "op12_collocations": op12_collocations,
+        "op13_periodic_runs": op13_periodic_runs,
         "pipeline": pipeline,
     }
 
@@ -139,6 +205,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+# DuckDB for "A-Z in lower case", and the words of a benchmark item or document.
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ITEM_WORDS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op10_exact_dedup": """SELECT doc_id, keep_id, group_size,
@@ -148,4 +219,45 @@ def oracle_sql() -> dict[str, str]:
                     count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
                     row_number() OVER (PARTITION BY coalesce(text, ''), doc_id) AS copy
                   FROM documents)""",
+        "op11_decontamination": f"""WITH items AS (
+              SELECT coalesce(item_id::VARCHAR, '') AS item, w, least(10, len(w)) AS k
+              FROM (SELECT item_id, {ITEM_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+            windows AS (SELECT DISTINCT item, k, w[i:i + k - 1] AS s FROM items, unnest(range(1, len(w) - k + 2)) AS u(i)),
+            docs AS (SELECT row_number() OVER () AS r, doc_id, {ITEM_WORDS} AS w FROM documents),
+            placed AS (
+              SELECT r, k, i, w[i:i + k - 1] AS s
+              FROM docs, (SELECT DISTINCT k FROM windows), unnest(range(1, len(w) - k + 2)) AS u(i)),
+            hits AS (SELECT r, k, i, item FROM placed JOIN windows USING (k, s)),
+            words AS (SELECT r, count(DISTINCT j) AS n_hit FROM hits, unnest(range(i, i + k)) AS u(j) GROUP BY r),
+            found AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+                      FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+            SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+              sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+            FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r)""",
+        "op12_collocations": rf"""WITH pieces AS (
+              SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w
+              FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER}, '[.,;:!?\n\x0B\f\r]')) AS piece
+                    FROM documents)),
+            grams AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+                      FROM pieces, range(1, 4) AS t(k), unnest(range(1, len(w) - k + 2)) AS u(i)),
+            f AS (SELECT lang, k, phrase, count(*) AS c FROM grams GROUP BY ALL),
+            total AS (SELECT lang, sum(c)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+            cuts AS (SELECT lang, k, phrase, c AS a, j, array_to_string(string_split(phrase, ' ')[:j], ' ') AS head,
+                       array_to_string(string_split(phrase, ' ')[j + 1:], ' ') AS tail
+                     FROM f, range(1, 3) AS t(j) WHERE k > 1 AND c >= 10 AND j < k),
+            scored AS (SELECT x.lang, x.k, x.phrase, a, l.c AS l, r.c AS r,
+                         1000000::HUGEINT * a * a // (l.c::HUGEINT * r.c) AS score,
+                         row_number() OVER (PARTITION BY x.lang, x.phrase
+                           ORDER BY 1000000::HUGEINT * a * a // (l.c::HUGEINT * r.c), j) AS cut
+                       FROM cuts x JOIN f l ON l.lang = x.lang AND l.phrase = head JOIN f r ON r.lang = x.lang AND r.phrase = tail),
+            inner_ AS (SELECT lang, max(a) AS longer, part FROM (
+                         SELECT lang, a, unnest([array_to_string(string_split(phrase, ' ')[:2], ' '),
+                                                 array_to_string(string_split(phrase, ' ')[2:], ' ')]) AS part
+                         FROM scored WHERE cut = 1 AND k = 3) GROUP BY lang, part),
+            ranked AS (SELECT s.lang, phrase, a, l, r, n, score::BIGINT AS score,
+                         row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, phrase) AS rank
+                       FROM scored s JOIN total ON total.lang = s.lang
+                         LEFT JOIN inner_ i ON i.lang = s.lang AND i.part = s.phrase
+                       WHERE cut = 1 AND coalesce(100 * longer < 50 * a, true))
+            SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
     }
