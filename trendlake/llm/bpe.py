@@ -11,6 +11,7 @@ binary column, which needs no array objects on either side.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import re
@@ -24,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import without
+from trendlake.llm.common import free_names, without
 
 ROWS = 256  # texts converted together
-CACHED = 1 << 18  # entries a task keeps of each cache
+CACHED = 1 << 17  # entries a task keeps of each cache: with the tables about 130 MB
 CACHED_CHARS = 64  # longer words are not kept
 SHORT = 32  # symbols up to which a list is searched for the next pair; longer fragments use a heap
 NO_PAIR = 1 << 30  # above every rank
@@ -245,6 +246,27 @@ def decoder(spark: SparkSession, path: str):
     return decoded
 
 
+def round_trip(spark: SparkSession, path: str):
+    """Ids and the digest of what they decode to, from one function: a second one would hold another Python worker,
+    with another copy of the tables, on every core."""
+    spec = _model(spark, path)
+
+    @F.arrow_udf("ids binary, digest string")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = ForcedBoundaryBpe(spec.value)
+        texts = token_texts(spec.value)
+
+        def convert(text: str | None) -> dict:
+            ids = model.encode(text)
+            return {"ids": ids, "digest": hashlib.sha256(decode(ids, texts).encode("utf-8", "surrogatepass")).hexdigest()}
+
+        kind = pa.struct([("ids", pa.binary()), ("digest", pa.string())])
+        for values in batches:
+            yield _converted(values, convert, kind)
+
+    return both.asNondeterministic()  # so that it stays one column, computed once
+
+
 def n_ids(ids: Column) -> Column:
     return (F.octet_length(ids) / IDS.itemsize).cast("long")
 
@@ -256,6 +278,19 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", ids: str = "ids",
     return df.select(*kept, encoded.alias(ids)).withColumn(n, n_ids(F.col(f"`{ids}`")))
 
 
+def encode_checked(
+    df: DataFrame, path: str, text: str = "text", ids: str = "ids", n: str = "n_tokens", digest: str = "decoded_sha256"
+) -> DataFrame:
+    """``df`` with the ids of every whole text, their number, and the SHA-256 of the text they decode to, in one pass.
+    Columns of these names are replaced."""
+    rest = without(df, *(name for name in (ids, n, digest) if name != text))
+    (found,) = free_names(rest, "found")
+    kept = [f"`{c}`" for c in rest.columns if c not in (ids, n, digest)]
+    coded = rest.withColumn(found, round_trip(df.sparkSession, path)(F.col(f"`{text}`")))
+    part = lambda name: F.col(f"`{found}`.{name}")
+    return coded.select(*kept, part("ids").alias(ids), n_ids(part("ids")).alias(n), part("digest").alias(digest))
+
+
 def decode_ids(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the text of ``ids``; unknown ids have no text."""
     decoded = decoder(df.sparkSession, path)(F.col(f"`{ids}`"))

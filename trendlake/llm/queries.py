@@ -40,10 +40,8 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode_texts(_documents(spark, sf_dir, "doc_id", "text"), tokenizer_path())
-    decoded = bpe.decode_ids(encoded.select("doc_id", "n_tokens", "ids"), tokenizer_path())
-    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
-    return decoded.select("doc_id", "n_tokens", digest("ids").alias("ids_sha256"), digest("decoded").alias("decoded_sha256"))
+    found = bpe.encode_checked(_documents(spark, sf_dir, "doc_id", "text"), tokenizer_path())
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "decoded_sha256")
 
 
 def quality_model_of(docs: DataFrame, labels: DataFrame, learn: Column) -> quality_model.QualityModel:
