@@ -7,12 +7,13 @@ coordinate, its earliest dart. Darts depend on the element only, so two sets sha
 dart with the probability of their (weighted) Jaccard similarity. Darts are looked for only as deep
 as a set needs to fill all coordinates: few per element for large sets.
 
-Signatures are cut into bands; sets that share a band meet. Each meets the leader of
-the band's bucket, the set that meets most others (of an edited text, the original), and the
-similarity of such pairs is computed exactly. Where a bucket's sets are still in different groups,
-those are compared too, block by block inside tasks that give out similar pairs only, except sets of
-which too many elements are in no other set left. Groups are connected components of pairs at or above
-the threshold. At the default 28 bands of 4 a pair of similarity 0.8 shares no band with probability
+Signatures are cut into bands; sets that share a band meet. The leader of a band's bucket is the set
+that meets most others (of an edited text, the original). Each set is first compared, exactly, with the
+greatest of its leaders, then, for ``ROUNDS``, with the greatest that is still in another group: one pair
+per set at a time. Where a bucket's sets are then still in different groups,
+all that met are compared, block by block inside tasks that give out no more links than join their
+groups, except sets of which too many elements are in no other set left. Groups are connected components
+of pairs at or above the threshold; links found later join groups, not sets, again. At the default 28 bands of 4 a pair of similarity 0.8 shares no band with probability
 below 4e-7.
 
 Words are separated by the bytes 0x09-0x0D and 0x20. A text of one to four words is one element; a
@@ -40,6 +41,7 @@ WINDOW = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 28, 4
 CACHED = 1 << 17
+ROUNDS = 2  # times a set is compared with a leader in another group
 BLOCK = 256  # sets of one cluster compared with as many others in one task
 FIRST = 1 / 8  # rank at which the first slab ends; slabs double up to 1 and are 1 wide from there
 U64 = np.uint64
@@ -262,20 +264,25 @@ def near_groups(
     buckets = met.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     met = materialise(met.join(buckets, "band"), "near-met")  # sets in buckets with several
     degree = met.groupBy("node").agg(F.sum("size").alias("degree"))
-    met = met.join(degree, "node")
-    leaders = met.groupBy("band").agg(F.max(F.struct("degree", "node"))["node"].alias("leader"))
+    leaders = met.join(degree, "node").groupBy("band").agg(F.max(F.struct("degree", "node")).alias("leader"))
     met = materialise(met.select("band", "node").join(leaders, "band"), "near-led")
-    pairs = met.where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-    pairs = materialise(pairs.distinct(), "near-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = met.select(F.explode(F.array("node", "leader.node")).alias("node")).distinct()
     sets = _sets_of(docs, nodes, wanted, weighting)
-    compared = materialise(_compared(pairs, sets, weighting), "near-compared")
-    edges = compared.where(F.col("similarity") >= similarity).select("a", "b")
-    labels = connected(edges)
-
-    more = materialise(_open_links(pairs, labels, sets, similarity, weighting), "near-more")
-    if not more.isEmpty():
-        labels = connected(edges.union(more.select("a", "b")))
+    labels = met.select("node", F.col("node").alias("component")).distinct()
+    led = met.where("node <> leader.node").select("node", "leader").distinct()
+    for _ in range(1 + ROUNDS):
+        at = labels.select(F.col("node").alias("of"), F.col("component").alias("other"))
+        apart = led.join(labels, "node").join(at, F.col("leader.node") == F.col("of")).where("component <> other")
+        # The greatest leader in another group, of every set that has one.
+        best = materialise(apart.groupBy("node").agg(F.max("leader").alias("tried")), "near-best")
+        if best.isEmpty():
+            break
+        ends = F.col("node"), F.col("tried.node")
+        pairs = best.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
+        links = _compared(pairs, sets, weighting).where(F.col("similarity") >= similarity).select("a", "b")
+        labels = _merged(labels, materialise(links, "near-links"))
+        led = led.join(best, "node").where("leader < tried").drop("tried")
+    labels = _merged(labels, materialise(_open_links(met, labels, sets, similarity, weighting), "near-more"))
 
     placed = signed.select("key", "row", "node").join(labels, "node", "left")
     placed = placed.withColumn("group", F.coalesce("component", "node"))
@@ -292,6 +299,16 @@ def near_groups(
     )
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, component) in which ``links`` (a, b) between nodes have joined components."""
+    end = lambda name: labels.select(F.col("node").alias(name), F.col("component").alias(f"c{name}"))
+    joined = links.join(end("a"), "a").join(end("b"), "b").where("ca <> cb")
+    joined = connected(joined.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+    new = broadcast_if_small(joined.select(F.col("node").alias("component"), F.col("component").alias("new")))
+    merged = labels.join(new, "component", "left").select("node", F.coalesce("new", "component").alias("component"))
+    return materialise(merged, "near-labels")
+
+
 def _shared_weight(sets: DataFrame, weighting: str) -> DataFrame:
     """(node, total, shared): the weight of a set, and of its elements that another of ``sets`` has too."""
     weight = F.lit(1.0) if weighting == "set" else F.col("w")
@@ -304,18 +321,18 @@ def _shared_weight(sets: DataFrame, weighting: str) -> DataFrame:
     return total.join(lost, "node", "left").select("node", "total", (F.col("total") - F.coalesce("lost", F.lit(0.0))).alias("shared"))
 
 
-def _open_links(pairs: DataFrame, labels: DataFrame, sets: DataFrame, similarity: float, weighting: str) -> DataFrame:
-    """Similar pairs (a, b) among sets that met, directly or through others, and are in different groups.
+def _open_links(met: DataFrame, labels: DataFrame, sets: DataFrame, similarity: float, weighting: str) -> DataFrame:
+    """Links (a, b) that join the groups of similar sets which met, directly or through others.
 
-    What met is a cluster. Clusters in several groups are compared in blocks of about ``BLOCK`` sets,
-    every block with every other, inside tasks that give out similar pairs only.
+    Groups that met are a cluster. Its sets are compared in blocks of about ``BLOCK``,
+    every block with every other, inside tasks that give out links of a spanning forest only.
     """
-    clusters = connected(pairs).withColumnRenamed("component", "cluster")
-    members = clusters.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    members = materialise(members, "near-clusters")
+    at = labels.select(F.col("node").alias("of"), F.col("component").alias("b"))
+    open_ = met.join(labels, "node").join(at, F.col("leader.node") == F.col("of")).where("component <> b")
+    clusters = connected(open_.select(F.col("component").alias("a"), "b").distinct())
+    clusters = broadcast_if_small(clusters.select(F.col("node").alias("component"), F.col("component").alias("cluster")))
+    members = materialise(labels.join(clusters, "component").select("cluster", "node", "component"), "near-open")
     ends = lambda rows: rows.groupBy("cluster").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2")
-    members = members.join(ends(members).select("cluster"), "cluster", "left_semi")
-    members = materialise(members, "near-open")
     left = sets.join(members.select("node"), "node", "left_semi")
     members = members.join(_shared_weight(left, weighting), "node")
     # What two sets share is at most what either shares with any: a bound on a partner's weight.
@@ -336,13 +353,31 @@ def _open_links(pairs: DataFrame, labels: DataFrame, sets: DataFrame, similarity
     rows = members.join(sets, "node")
 
     def similar(group: pd.DataFrame) -> pd.DataFrame:
-        found = [pair for _, part in group.groupby("cluster", sort=False) for pair in _similar_pairs(part, similarity)]
+        found = [link for _, part in group.groupby("cluster", sort=False) for link in _links(part, similarity)]
         return pd.DataFrame(found, columns=["a", "b"])
 
     return rows.groupBy("place", "low", "high").applyInPandas(similar, "a binary, b binary").distinct()
 
 
-def _similar_pairs(part: pd.DataFrame, similarity: float) -> list[tuple[bytes, bytes]]:
+def _links(part: pd.DataFrame, similarity: float) -> list[tuple[bytes, bytes]]:
+    """As many pairs of similar sets as join the groups of ``part`` that have any: fewer than groups."""
+    node, above, out = part["node"].tolist(), {}, []
+
+    def top(group: bytes) -> bytes:
+        while (up := above.get(group, group)) != group:
+            above[group] = above.get(up, up)
+            group = up
+        return group
+
+    group = part["component"].tolist()
+    for i, j in zip(*_similar_pairs(part, similarity)):
+        if (a := top(group[i])) != (b := top(group[j])):
+            above[a] = b
+            out.append((node[i], node[j]))
+    return out
+
+
+def _similar_pairs(part: pd.DataFrame, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Exact similarities of all sets of ``part`` at once, by the elements that two of them share."""
     elements, owners = [], []
     for n, (found, weights) in enumerate(zip(part["elements"], part["weights"])):
@@ -366,8 +401,7 @@ def _similar_pairs(part: pd.DataFrame, similarity: float) -> list[tuple[bytes, b
         both += held @ held.T
     both = both.astype(np.float64)
     near = np.triu(both / (total[:, None] + total[None, :] - both) >= similarity, 1)
-    node, group = part["node"].tolist(), part["component"].tolist()
-    return [tuple(sorted((node[i], node[j]))) for i, j in zip(*np.nonzero(near)) if group[i] != group[j]]
+    return np.nonzero(near)
 
 
 def drop_near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
