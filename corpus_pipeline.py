@@ -40,11 +40,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian unsigned 32-bit) of every text, and the digest of what they decode to."""
-    encoded = bpe.encode_texts(docs.select("doc_id", "lang", "source", "text"), tokenizer_path())
-    decoded = bpe.decode_ids(encoded.drop("text"), tokenizer_path())
-    return decoded.select(
-        "doc_id", "lang", "source", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
-    )
+    found = bpe.encode_checked(docs.select("doc_id", "lang", "source", "text"), tokenizer_path())
+    return found.select("doc_id", "lang", "source", "n_tokens", "ids", "decoded_sha256")
 
 
 STAGES = [
