@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from trendlake.functions import decode_key, instant, normalize_region, region_from_key
+from trendlake.operators.fields import discover_fields
 from trendlake.schemas import REFERENCE_ITEM
 
 EMPTY = "No category items in the document"
@@ -22,6 +23,15 @@ LONG_TEXT = {"maxStringLen": "2147483647"}
 BAD_TEXT = {"columnNameOfCorruptRecord": "_bad", **LONG_TEXT}
 VARIANT_CHARS = 16 << 20  # texts from here on may be more than one variant holds
 REQUIRED = ("id", "snippet.title")  # fixed values: fields every item should have
+ITEM_COLUMNS = ("key", "region", "pos", "has_id")
+ADDED_COLUMNS = ("_ingestion_timestamp", "_source_file")
+
+
+def _once(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """``df.select(*columns)``, each computed once per row: a generator of one row, which the optimiser does not merge
+    with the many expressions that read them (a document would be parsed again for each)."""
+    row = F.struct(*(df.columns if isinstance(columns[0], str) and columns[0] == "*" else columns[:1]), *columns[1:])
+    return df.select(F.explode(F.array(row)).alias("_row")).select("_row.*")
 
 
 def parse_documents(docs: DataFrame, key_is_uri: bool = True) -> DataFrame:
@@ -37,7 +47,8 @@ def parse_documents(docs: DataFrame, key_is_uri: bool = True) -> DataFrame:
     top = F.from_json("value", "array<string>", LONG_TEXT)
     # An object whose items are no list is one item itself.
     is_object = F.from_json("value", "map<string,string>", LONG_TEXT).isNotNull()
-    parsed = docs.select(
+    parsed = _once(
+        docs,
         decode_key(F.col("path"), plus_is_blank=not key_is_uri).alias("key"),
         "modified",
         first.alias("first"),
@@ -54,8 +65,8 @@ def parse_documents(docs: DataFrame, key_is_uri: bool = True) -> DataFrame:
     )
     # The statistics have lower-case regions, whatever the landing directory is called.
     region = normalize_region(region_from_key(F.col("key")))
-    parsed = parsed.select("key", region.alias("region"), "modified", "first", texts.alias("texts"), "scalar")
-    parsed = parsed.withColumn("items", F.transform("texts", F.try_parse_json))
+    parsed = parsed.select("key", region.alias("region"), "modified", texts.alias("texts"), "scalar")
+    parsed = _once(parsed, "*", F.transform("texts", F.try_parse_json).alias("items"))
 
     def as_object(item: Column) -> Column:
         return F.try_variant_get(item, "$", "map<string,variant>")
@@ -72,7 +83,8 @@ def parse_documents(docs: DataFrame, key_is_uri: bool = True) -> DataFrame:
     )
     absent = F.array(*(F.when(~any_item_has(path), F.lit(path)) for path in REQUIRED))
     missing = F.filter(absent, lambda c: c.isNotNull())
-    return parsed.select(
+    return _once(
+        parsed,
         "key",
         "region",
         "modified",
@@ -116,25 +128,6 @@ def _entries(value: Column) -> Column:
     return F.try_variant_get(value, "$", "map<string,variant>")
 
 
-def discover_fields(items: DataFrame) -> dict[tuple[str, ...], str]:
-    """Path and type of every field that is not itself an object. One aggregate per depth of
-    nesting; only names and types return, in the order of the names."""
-    found: dict[tuple[str, ...], str] = {}
-    level = items.select(F.array().cast("array<string>").alias("path"), F.col("item").alias("value"))
-    while True:
-        inner = level.select("path", F.explode(_entries(F.col("value"))).alias("name", "value"))
-        inner = inner.select(F.concat("path", F.array("name")).alias("path"), "value")
-        is_object = _entries(F.col("value")).isNotNull()
-        leaf = F.when(~F.coalesce(is_object, F.lit(False)), F.col("value"))
-        fields = inner.groupBy("path").agg(
-            F.schema_of_variant_agg(leaf).alias("kind"), F.count(leaf).alias("leaves"), F.bool_or(is_object).alias("deeper")
-        ).collect()  # one row per field name
-        found |= {tuple(r["path"]): r["kind"] for r in fields if r["leaves"] or not r["deeper"]}
-        if not any(r["deeper"] for r in fields):
-            return dict(sorted(found.items()))
-        level = inner.where(is_object)
-
-
 def _leaf(path: Sequence[str], kind: str) -> Column:
     """A field by its name alone, whatever letters that has."""
     value = F.col("item")
@@ -157,25 +150,27 @@ def _leaf(path: Sequence[str], kind: str) -> Column:
 def flatten(items: DataFrame, schema: StructType | None = None, separator: str = "_") -> DataFrame:
     """Item objects to columns, nested names joined by ``separator``.
 
-    By default every field that any item has becomes a column; names that differ only by case, or
-    that meet once joined, share one. ``schema`` limits them to known fields and reads nothing ahead.
+    By default every field that any item has becomes a column (one job finds them); names that differ
+    only by case, or that meet once joined, share one. ``schema`` limits them to known fields and reads
+    nothing ahead. A field named like a column of the table gets ``item`` before its name. Items with too
+    many names for columns are kept as text in ``item``, beside the known fields.
     """
-    fields = discover_fields(items) if schema is None else {p: "" for p in _paths(schema)}
-    kinds = {} if schema is None else _kinds(schema)
+    fields = discover_fields(items) if schema is None else _kinds(schema)
+    if () in fields:
+        fields = fields | {path: kind.upper() for path, kind in REFERENCE_TYPES.items()}
     columns: dict[str, list[Column]] = {}
     spelled: dict[str, str] = {}
     for path, kind in fields.items():
-        name = separator.join(path)
+        name = separator.join(path) if path else "item"
+        if name.lower() in (*ITEM_COLUMNS, *ADDED_COLUMNS):
+            name = f"item{separator}{name}"
         key = spelled.setdefault(name.lower(), name)
-        columns.setdefault(key, []).append(_leaf(path, kind or kinds[path]))
-    reserved = ("key", "region", "pos", "has_id")
+        columns.setdefault(key, []).append(_leaf(path, kind))
     leaves = [
-        (F.coalesce(*(c.cast("string") for c in found)) if len(found) > 1 else found[0]).alias(
-            f"item{separator}{name}" if name.lower() in reserved else name
-        )
+        (F.coalesce(*(c.cast("string") for c in found)) if len(found) > 1 else found[0]).alias(name)
         for name, found in columns.items()
     ]
-    return items.select(*reserved, *leaves)
+    return items.select(*ITEM_COLUMNS, *leaves)
 
 
 def _kinds(schema: StructType, path: tuple[str, ...] = ()) -> dict[tuple[str, ...], str]:
@@ -187,10 +182,6 @@ def _kinds(schema: StructType, path: tuple[str, ...] = ()) -> dict[tuple[str, ..
     return out
 
 
-def _paths(schema: StructType) -> list[tuple[str, ...]]:
-    return list(_kinds(schema))
-
-
 REFERENCE_TYPES = {path: kind.lower() for path, kind in _kinds(REFERENCE_ITEM).items()}
 
 
