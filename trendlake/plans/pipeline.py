@@ -16,7 +16,7 @@ from trendlake.operators.clean import add_ratios, cleanse, silver_statistics, st
 from trendlake.operators.enrich import attach_category, build_lookup
 from trendlake.operators.reference import ingest_report, parse_documents, report_alerts, silver_reference
 from trendlake.schemas import INGEST_REPORT
-from trendlake.session import materialise, release
+from trendlake.session import materialise, path_exists, release
 from trendlake.sinks import overwrite_partitions, write_partitioned
 from trendlake.sources import read_optional, read_table
 from trendlake.streaming.ingest import MERGE_PARTITIONS, merge_latest, publish
@@ -95,11 +95,19 @@ def quality_gate(
     found = quality.summary(results).first().asDict()
     if not found["quality_passed"]:
         if alert_path is not None:
-            quality.alerts(results).write.mode("append").json(alert_path)
+            add_alerts(quality.alerts(results), alert_path)
         raise QualityGateError(found)
     return found
 
 
+def add_alerts(alerts: DataFrame, path: str) -> None:
+    """Append the alerts that are not there yet: a run that is repeated raises none twice."""
+    if path_exists(alerts.sparkSession, path):
+        told = alerts.sparkSession.read.schema("subject string, message string").json(path)
+        alerts = alerts.join(told, ["subject", "message"], "left_anti")
+    alerts.write.mode("append").json(path)
+
+
 def silver_to_gold(
     silver: DataFrame,
     reference: DataFrame | None,
@@ -147,7 +155,8 @@ def run(
     when every check on silver passes.
 
     ``raw`` may be one day or everything: by default it is merged into what earlier runs left,
-    and running it again changes nothing. ``database`` registers the tables in the catalog. The
+    and running it again changes nothing. Where no rows have come yet, it ends without checks and gold.
+    ``database`` registers the tables in the catalog. The
     report on reference documents is in the result (``reference``: how many failed, which required
     columns are missing) and under ``<root>/reports``; failed documents also become alerts.
     """
@@ -174,10 +183,13 @@ def run(
         report["reference"] = found.first().asDict()
         if report["reference"]["failed"]:
             log.warning("%s reference documents failed", report["reference"]["failed"])
-            report_alerts(failed).write.mode("append").json(f"{root}/alerts")
+            add_alerts(report_alerts(failed), f"{root}/alerts")
         if report["reference"]["missing_columns"]:
             log.warning("reference items lack %s", report["reference"]["missing_columns"])
         tables["clean_reference_data"] = lambda: read_table(spark, reference_path)
+    if not path_exists(spark, silver_path):
+        log.info("no records yet: nothing to check or to build")
+        return report | {"quality": None, "gold": {}}
     report["quality"] = quality_gate(spark, tables, f"{root}/alerts", as_of=as_of, **checks)
     reference = read_optional(spark, reference_path)
     report["gold"] = silver_to_gold(read_table(spark, silver_path), reference, f"{root}/gold", as_of, database)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from trendlake.schemas import STATS_API, STATS_CSV
-from trendlake.sources.tables import only_regions, read_table
+from trendlake.sources.tables import only_regions, read_table, region_spellings
 
 
 def _csv_options(multi_line: bool) -> dict:
@@ -23,7 +23,11 @@ def read_stats_csv(
     none, which are split.
     """
     reader = spark.read.schema(STATS_CSV).options(**_csv_options(multi_line))
-    return only_regions(reader.csv(root), regions)
+    return _only(reader.csv(root), root, regions)
+
+
+def _only(df: DataFrame, name_or_path: str, regions: list[str] | None) -> DataFrame:
+    return df if regions is None else only_regions(df, regions, region_spellings(df.sparkSession, name_or_path))
 
 
 def read_stats_api(
@@ -31,12 +35,12 @@ def read_stats_api(
 ) -> DataFrame:
     """JSON objects of the API layout, one per line (``multi_line``: one document per file)."""
     reader = spark.read.schema(STATS_API).option("multiLine", multi_line)
-    return only_regions(reader.json(root), regions)
+    return _only(reader.json(root), root, regions)
 
 
 def read_stats(spark: SparkSession, name_or_path: str, regions: list[str] | None = None) -> DataFrame:
     """Raw statistics kept as a catalog table or as Parquet, of either layout."""
-    return only_regions(read_table(spark, name_or_path), regions)
+    return _only(read_table(spark, name_or_path), name_or_path, regions)
 
 
 def stream_stats(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -15,6 +16,7 @@ from trendlake.functions import normalize_region
 log = logging.getLogger(__name__)
 
 TEXT_PARTITIONS = ("region",)  # directory names that are text whatever they look like
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the directory of rows without a value
 
 
 def read_table(spark: SparkSession, name_or_path: str, merge_schema: bool = False) -> DataFrame:
@@ -45,9 +47,33 @@ def read_optional(spark: SparkSession, name_or_path: str) -> DataFrame | None:
         return None
 
 
-def only_regions(df: DataFrame, regions: list[str] | None) -> DataFrame:
-    """Keep the given regions. On a partition column this prunes directories."""
+def region_spellings(spark: SparkSession, name_or_path: str) -> list[str] | None:
+    """The values of the partition ``region`` as they are spelled in a catalog table or as folders of a path; ``None``
+    where region is no (first) partition. Partition names are listed, no file is read."""
+    if "/" in name_or_path:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name_or_path)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return None
+        names = [status.getPath().getName() for status in fs.listStatus(path) if status.isDirectory()]
+    elif any(c.name == "region" and c.isPartition for c in spark.catalog.listColumns(name_or_path)):
+        part = F.regexp_extract("partition", "(?:^|/)(region=[^/]*)", 1)
+        names = [r[0] for r in spark.sql(f"SHOW PARTITIONS {name_or_path}").select(part).distinct().collect()]
+    else:
+        return None
+    found = [unquote(name.removeprefix("region=")) for name in names if name.startswith("region=")]
+    return [value for value in found if value != NO_VALUE] if found else None
+
+
+def only_regions(df: DataFrame, regions: list[str] | None, spellings: list[str] | None = None) -> DataFrame:
+    """Keep the given regions, whatever their case and blanks.
+
+    With ``spellings``, what the partitions are called, the filter is a plain list of raw values: the catalog lists only
+    the partitions it names. Without, it is computed from the column, which prunes partitions that are listed already.
+    """
     if regions is None:
         return df
-    wanted = normalize_region(F.col("region")).isin([r.strip().lower() for r in regions])
-    return df.where(wanted)
+    wanted = {r.strip(" ").lower() for r in regions} - {""}
+    if spellings is not None:
+        return df.where(F.col("region").isin([raw for raw in spellings if raw.strip(" ").lower() in wanted]))
+    return df.where(normalize_region(F.col("region")).isin(sorted(wanted)))
