@@ -65,8 +65,9 @@ def bounded_rows(df: DataFrame, rows: int, order_key: Sequence[str]) -> DataFram
 def bind(df: DataFrame, **values: Column) -> DataFrame:
     """``df`` with columns computed once per row: a generator of one row, which the optimiser does not
     merge with what reads the columns (lambdas would otherwise compute them for every element)."""
-    bound = F.explode(F.array(F.struct(*[value.alias(name) for name, value in values.items()]))).alias("_bound")
-    return df.select("*", bound).select(*[f"`{c}`" for c in df.columns], *[f"_bound.{name}" for name in values])
+    (whole,) = free_names(df, "bound")
+    bound = F.explode(F.array(F.struct(*[value.alias(name) for name, value in values.items()]))).alias(whole)
+    return df.select("*", bound).select(*[f"`{c}`" for c in df.columns], *[f"`{whole}`.`{name}`" for name in values])
 
 
 class Passes:

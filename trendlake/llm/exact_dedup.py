@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import without
+from trendlake.llm.common import free_names, without
 from trendlake.operators.sizes import broadcast_if_small
 
 BUDGET = 48 << 20  # bytes of different texts that a table holds
@@ -175,11 +175,12 @@ def exact_groups(df: DataFrame, key: str = "doc_id", text: str = "text", budget:
 def drop_copies(df: DataFrame, key: str = "doc_id", text: str = "text", budget: int = BUDGET) -> DataFrame:
     """The rows of ``df`` that stay, with all their columns. Runs jobs at call time."""
     found = exact_groups(df, key, text, budget)
-    gone = found.where(~F.col(f"`{key}`").eqNullSafe(F.col("keep_id"))).select(F.col(f"`{key}`").alias("_gone"), F.col("text_sha256").alias("_gone_sha"))
+    sha, gone_key, gone_sha = free_names(df, "sha", "gone", "gone_sha")
+    gone = found.where(~F.col(f"`{key}`").eqNullSafe(F.col("keep_id"))).select(F.col(f"`{key}`").alias(gone_key), F.col("text_sha256").alias(gone_sha))
     repeated = found.where(F.col(f"`{key}`").eqNullSafe(F.col("keep_id")) & ~F.col("kept"))
-    rows = df.withColumn("_sha", text_sha256(F.col(f"`{text}`")))
-    same = F.col(f"`{key}`").eqNullSafe(F.col("_gone")) & (F.col("_sha") == F.col("_gone_sha"))
+    rows = df.withColumn(sha, text_sha256(F.col(f"`{text}`")))
+    same = F.col(f"`{key}`").eqNullSafe(F.col(gone_key)) & (F.col(sha) == F.col(gone_sha))
     kept = rows.join(broadcast_if_small(gone.distinct()), same, "left_anti")
     if not repeated.isEmpty():
-        kept = kept.dropDuplicates([key, "_sha"])
-    return without(kept, "_sha")
+        kept = kept.dropDuplicates([key, sha])
+    return without(kept, sha)

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import without
+from trendlake.llm.common import free_names, without
 
 DIM = 1024
 PER_LANGUAGE = 2000
@@ -136,5 +136,6 @@ def identify(
             yield pd.DataFrame(rows, columns=["lang", "score"])
 
     kept = [f"`{c}`" for c in without(df, out, score).columns]
-    found = df.select(*kept, predict(F.col(f"`{text}`")).alias("_predicted"))
-    return found.select(*kept, F.col("_predicted.lang").alias(out), F.col("_predicted.score").alias(score))
+    (predicted,) = free_names(df, "predicted")
+    found = df.select(*kept, predict(F.col(f"`{text}`")).alias(predicted))
+    return found.select(*kept, F.col(f"{predicted}.lang").alias(out), F.col(f"{predicted}.score").alias(score))

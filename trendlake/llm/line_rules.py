@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import WORD_BREAK_PATTERN, WORD_BREAKS, bind, without, words
+from trendlake.llm.common import WORD_BREAK_PATTERN, WORD_BREAKS, bind, free_names, without, words
 from trendlake.operators.sizes import broadcast_if_small
 from trendlake.session import materialise
 
@@ -41,25 +41,26 @@ def text_figures(df: DataFrame, text: str = "text", window: int = WINDOW) -> Dat
     kept = [f"`{c}`" for c in without(df, *names).columns]
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     lines = F.filter(F.split(value, "\n"), lambda line: F.btrim(line, F.lit(WORD_BREAKS)) != "")
-    rows = bind(df, _words=words(value), _lines=lines)
-    n = F.size("_words")
+    own_words, own_lines, own_keys, own_placed, own_at = free_names(df, "words", "lines", "keys", "placed", "at")
+    rows = bind(df, **{own_words: words(value), own_lines: lines})
+    n = F.size(own_words)
     starts = F.when(n >= window, F.sequence(F.lit(0), n - window)).otherwise(F.array().cast("array<int>"))
-    keys = F.transform(starts, lambda i: F.xxhash64(*[F.get("_words", i + k if k else i) for k in range(window)]))
-    rows = bind(rows, _keys=keys)
-    some = F.size(F.array_distinct("_keys")) < F.size("_keys")
+    keys = F.transform(starts, lambda i: F.xxhash64(*[F.get(own_words, i + k if k else i) for k in range(window)]))
+    rows = bind(rows, **{own_keys: keys})
+    some = F.size(F.array_distinct(own_keys)) < F.size(own_keys)
     none = F.array().cast("array<struct<key: bigint, at: int>>")
-    placed = F.array_sort(F.transform("_keys", lambda key, i: F.struct(key.alias("key"), i.alias("at"))))
-    rows = bind(rows, _placed=F.when(some, placed).otherwise(none))
-    beside = lambda i: F.get("_placed", i)["key"]
-    again = F.filter("_placed", lambda x, i: F.coalesce(x["key"] == beside(i - 1), F.lit(False)) | F.coalesce(x["key"] == beside(i + 1), F.lit(False)))
-    rows = bind(rows, _at=F.array_sort(F.transform(again, lambda x: x["at"])))
-    covered = F.transform("_at", lambda p, i: F.least(F.lit(window), F.coalesce(F.get("_at", i + 1) - p, F.lit(window))))
+    placed = F.array_sort(F.transform(own_keys, lambda key, i: F.struct(key.alias("key"), i.alias("at"))))
+    rows = bind(rows, **{own_placed: F.when(some, placed).otherwise(none)})
+    beside = lambda i: F.get(own_placed, i)["key"]
+    again = F.filter(own_placed, lambda x, i: F.coalesce(x["key"] == beside(i - 1), F.lit(False)) | F.coalesce(x["key"] == beside(i + 1), F.lit(False)))
+    rows = bind(rows, **{own_at: F.array_sort(F.transform(again, lambda x: x["at"]))})
+    covered = F.transform(own_at, lambda p, i: F.least(F.lit(window), F.coalesce(F.get(own_at, i + 1) - p, F.lit(window))))
     return rows.select(
         *kept,
         n.cast("long").alias("n_words"),
-        F.aggregate("_words", F.lit(0).cast("long"), lambda total, w: total + F.length(w)).alias("word_chars"),
+        F.aggregate(own_words, F.lit(0).cast("long"), lambda total, w: total + F.length(w)).alias("word_chars"),
         F.regexp_count(value, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        (F.size(own_lines) - F.size(F.array_distinct(own_lines))).cast("long").alias("n_dup_lines"),
         F.aggregate(covered, F.lit(0).cast("long"), lambda total, p: total + p).alias("n_repeat_words"),
     )
 
@@ -83,10 +84,11 @@ def _lines(text: Column) -> Column:
     return F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("line"), n(x).alias("n")))
 
 
-def with_lines(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with what ``remove_common_lines`` needs of the text: its hash and (line hash, words) of its lines."""
+def with_lines(df: DataFrame, names: tuple[str, str], text: str = "text") -> DataFrame:
+    """``df`` with what ``remove_common_lines`` needs of the text, in new columns of these names:
+    its hash, and (line hash, words) of its lines."""
     value = F.col(f"`{text}`")
-    return bind(df, _row=F.xxhash64(value), _found=_lines(value))
+    return bind(df, **dict(zip(names, (F.xxhash64(value), _lines(value)))))
 
 
 def common_lines(rows: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
@@ -105,46 +107,59 @@ def remove_common_lines(
     min_kept: float = MIN_KEPT,
     min_words: int = MIN_WORDS,
     clean_text: str | None = None,
+    lines: tuple[str, str] | None = None,
 ) -> DataFrame:
     """``df`` with ``n_lines_removed``, ``n_words_kept`` and ``depleted``; with ``clean_text`` also the text
     without the removed lines (null if null). Runs one counting job at call time.
 
     Rows are matched by key, host and text, so equal rows get equal results and a null key is a key.
-    ``df`` may come from ``with_lines`` and need no text then, unless ``clean_text`` is wanted.
+    ``lines`` names the columns that ``with_lines`` added: no text is needed then, unless ``clean_text`` is
+    wanted. These two are not in the result, all other columns of ``df`` are.
     """
-    if "_found" not in df.columns:
-        df = with_lines(df, text)
+    if lines is None:
+        row, found = free_names(df, "row", "found")
+        lines = (row, found)
+        df = with_lines(df, lines, text)
+    own_row, own_lines = (F.col(f"`{name}`") for name in lines)
     names = ["n_lines_removed", "n_words_kept", "depleted"] + ([clean_text] if clean_text else [])
-    identity = {"_key": F.col(f"`{key}`"), "_host": F.col(f"`{host}`"), "_row": F.col("_row")}
-    narrow = materialise(df.select(*[c.alias(n) for n, c in identity.items()], "_found"), "lines")
+    identity = {"_key": F.col(f"`{key}`"), "_host": F.col(f"`{host}`"), "_row": own_row}
+    narrow = materialise(df.select(*[c.alias(n) for n, c in identity.items()], own_lines.alias("_found")), "lines")
     found = materialise(common_lines(narrow, max_docs), "common-lines")
 
     held = narrow.select("_key", "_host", "_row", F.explode(F.array_distinct(F.transform("_found", lambda x: x["line"]))).alias("_line"))
     small = broadcast_if_small(found.select(F.col("host").alias("_common_host"), F.col("line").alias("_common_line")))
     held = held.join(small, F.col("_host").eqNullSafe(F.col("_common_host")) & (F.col("_line") == F.col("_common_line")), "inner")
     removed = held.groupBy("_key", "_host", "_row").agg(F.collect_set("_line").alias("_removed"))
-    removed = removed.withColumnsRenamed({n: f"{n}_r" for n in identity})
 
-    kept = [f"`{c}`" for c in without(df, "_row", "_found", *names).columns]
-    rows = df.select(*kept, *[c.alias(n) for n, c in identity.items()], F.col("_found").alias("_lines"))
+    rest = without(df, *lines, *names)
+    kept = [f"`{c}`" for c in rest.columns]
+    value, all_lines, common, gone = free_names(rest, "text", "lines", "removed", "gone")
+    here, there = (free_names(rest, *(side + n for n in identity)) for side in ("of", "at"))
+    rows = df.select(
+        *kept,
+        *[c.alias(n) for n, c in zip(here, identity.values())],
+        own_lines.alias(all_lines),
+        *([F.col(f"`{text}`").alias(value)] if clean_text else []),
+    )
+    removed = removed.withColumnsRenamed({**dict(zip(identity, there)), "_removed": common})
     same = F.lit(True)
-    for n in identity:
-        same = same & F.col(n).eqNullSafe(F.col(f"{n}_r"))
+    for a, b in zip(here, there):
+        same = same & F.col(a).eqNullSafe(F.col(b))
     joined = rows.join(removed, same, "left")
-    gone = F.filter("_lines", lambda x: F.array_contains("_removed", x["line"]))
-    joined = joined.withColumn("_gone", F.when(F.col("_removed").isNotNull(), gone).otherwise(F.array().cast("array<struct<line: bigint, n: int>>")))
-    total = lambda lines: F.aggregate(lines, F.lit(0).cast("long"), lambda t, x: t + x["n"])
-    left = total(F.col("_lines")) - total(F.col("_gone"))
+    found = F.filter(all_lines, lambda x: F.array_contains(common, x["line"]))
+    joined = joined.withColumn(gone, F.when(F.col(common).isNotNull(), found).otherwise(F.array().cast("array<struct<line: bigint, n: int>>")))
+    total = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda t, x: t + x["n"])
+    left = total(F.col(all_lines)) - total(F.col(gone))
     out = joined.select(
         *kept,
-        F.size("_gone").cast("long").alias("n_lines_removed"),
+        F.size(gone).cast("long").alias("n_lines_removed"),
         left.alias("n_words_kept"),
-        ((left < min_words) | (left < min_kept * total(F.col("_lines")))).alias("depleted"),
-        *([_without_lines(F.col(f"`{text}`")).alias(clean_text)] if clean_text else []),
+        ((left < min_words) | (left < min_kept * total(F.col(all_lines)))).alias("depleted"),
+        *([_without_lines(F.col(value), common).alias(clean_text)] if clean_text else []),
     )
     return out
 
 
-def _without_lines(text: Column) -> Column:
-    kept = F.filter(F.split(text, "\n"), lambda x: (normal_line(x) == "") | ~F.coalesce(F.array_contains("_removed", F.xxhash64(normal_line(x))), F.lit(False)))
+def _without_lines(text: Column, removed: str) -> Column:
+    kept = F.filter(F.split(text, "\n"), lambda x: (normal_line(x) == "") | ~F.coalesce(F.array_contains(removed, F.xxhash64(normal_line(x))), F.lit(False)))
     return F.array_join(kept, "\n")

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import without, words
+from trendlake.llm.common import free_names, without, words
 from trendlake.operators.sizes import broadcast_if_small
 from trendlake.session import materialise
 
@@ -228,14 +228,16 @@ def apply_mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: st
     Equal rows (key and text) stand for each other: their copies are added up.
     """
     found = mix(df, key, text, source, **options).groupBy("key", "row")
-    found = found.agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("rows"))
+    found = found.agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
     found = materialise(found, "mix-copies")
     repeated = not found.where("rows > 1").isEmpty()
-    taken = found.where("_copies > 0").select(F.col("key").alias("_key"), F.col("row").alias("_row"), "_copies")
-    rows = df.withColumn("_hash", F.xxhash64(F.col(f"`{text}`")))
+    names = free_names(df, "hash", "key", "row", "copies", "copy")
+    own_hash, taken_key, taken_row, copies, copy = names
+    taken = found.where("copies > 0").select(F.col("key").alias(taken_key), F.col("row").alias(taken_row), F.col("copies").alias(copies))
+    rows = df.withColumn(own_hash, F.xxhash64(F.col(f"`{text}`")))
     if repeated:
-        rows = rows.dropDuplicates([key, "_hash"])
-    same = (F.col("_hash") == F.col("_row")) & F.col(f"`{key}`").eqNullSafe(F.col("_key"))
+        rows = rows.dropDuplicates([key, own_hash])
+    same = (F.col(own_hash) == F.col(taken_row)) & F.col(f"`{key}`").eqNullSafe(F.col(taken_key))
     joined = rows.join(broadcast_if_small(taken), same, "inner")
-    joined = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return without(joined, "_hash", "_key", "_row", "_copies", "_copy")
+    joined = joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
+    return without(joined, *names)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import without
+from trendlake.llm.common import free_names, without
 from trendlake.llm.components import connected
 from trendlake.operators.sizes import broadcast_if_small
 from trendlake.session import materialise
@@ -407,10 +407,11 @@ def _similar_pairs(part: pd.DataFrame, similarity: float) -> tuple[np.ndarray, n
 def drop_near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row of ``df`` of each group, with all its columns. Runs jobs at call time."""
     found = materialise(near_groups(df, key, text, **options), "near-groups")
-    rows = df.withColumn("_row", F.xxhash64(F.col(f"`{text}`")))
-    gone = broadcast_if_small(found.where("not kept").select(F.col(f"`{key}`").alias("_key"), F.col("row").alias("_gone")).distinct())
-    kept = rows.join(gone, (F.col("_row") == F.col("_gone")) & F.col(f"`{key}`").eqNullSafe(F.col("_key")), "left_anti")
+    row, gone_key, gone_row = free_names(df, "row", "key", "gone")
+    rows = df.withColumn(row, F.xxhash64(F.col(f"`{text}`")))
+    gone = broadcast_if_small(found.where("not kept").select(F.col(f"`{key}`").alias(gone_key), F.col("row").alias(gone_row)).distinct())
+    kept = rows.join(gone, (F.col(row) == F.col(gone_row)) & F.col(f"`{key}`").eqNullSafe(F.col(gone_key)), "left_anti")
     stay = found.where("kept and class_size > 1").groupBy(f"`{key}`", "row").count()
     if not stay.where("count > 1").isEmpty():  # equal rows
-        kept = kept.dropDuplicates([key, "_row"])
-    return without(kept, "_row")
+        kept = kept.dropDuplicates([key, row])
+    return without(kept, row)

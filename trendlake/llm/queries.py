@@ -83,8 +83,9 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = line_rules.with_lines(line_rules.text_figures(_documents(spark, sf_dir, "doc_id", "text", "source"))).drop("text")
-    found = line_rules.remove_common_lines(materialise(docs, "line-figures"))
+    lines = ("row", "lines")
+    docs = line_rules.with_lines(line_rules.text_figures(_documents(spark, sf_dir, "doc_id", "text", "source")), lines).drop("text")
+    found = line_rules.remove_common_lines(materialise(docs, "line-figures"), lines=lines)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return found.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import Passes, without
+from trendlake.llm.common import Passes, free_names, without
 from trendlake.operators.sizes import broadcast_if_small
 from trendlake.session import materialise
 
@@ -229,17 +229,19 @@ def remove_repeats(
 
     rest = without(df, kept, spans)
     names = [f"`{c}`" for c in rest.columns]
-    rows = df.select(*names, F.struct(F.col(f"`{text}`").alias("t")).alias("_t"), F.col(f"`{key}`").cast("long").alias("key_"), F.xxhash64(value).alias("row_"))
+    own, own_key, own_row, mark_key, mark_row, ranges, done = free_names(rest, "t", "own_key", "own_row", "key", "row", "ranges", "cut")
+    rows = df.select(*names, F.struct(F.col(f"`{text}`").alias("t")).alias(own), F.col(f"`{key}`").cast("long").alias(own_key), F.xxhash64(value).alias(own_row))
+    marks = marks.withColumnsRenamed({"_key": mark_key, "_row": mark_row, "_ranges": ranges})
     small = broadcast_if_small(marks, max_bytes=BROADCAST_BYTES)
-    joined = rows.join(small, (F.col("row_") == F.col("_row")) & F.col("key_").eqNullSafe(F.col("_key")), "left")
-    value = F.coalesce(F.col("_t.t"), F.lit(""))
-    marked = F.col("_ranges").isNotNull()
-    result = joined.withColumn("_cut", cut(F.when(marked, value), F.col("_ranges")))
+    joined = rows.join(small, (F.col(own_row) == F.col(mark_row)) & F.col(own_key).eqNullSafe(F.col(mark_key)), "left")
+    value = F.coalesce(F.col(f"{own}.t"), F.lit(""))
+    marked = F.col(ranges).isNotNull()
+    result = joined.withColumn(done, cut(F.when(marked, value), F.col(ranges)))
     none = F.array().cast("array<struct<start: int, end: int>>")
     return result.select(
         *names,
-        F.when(marked, F.col("_cut.kept")).otherwise(value.cast("binary")).alias(kept),
-        F.when(marked, F.col("_cut.spans")).otherwise(none).alias(spans),
+        F.when(marked, F.col(f"{done}.kept")).otherwise(value.cast("binary")).alias(kept),
+        F.when(marked, F.col(f"{done}.spans")).otherwise(none).alias(spans),
     )
 
 
