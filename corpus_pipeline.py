@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlake.llm import bpe, exact_dedup, mixing, near_dedup, quality_model
-from trendlake.llm.common import fold, read
+from trendlake.llm.common import fold, free_names, read, without
 from trendlake.llm.queries import REJECT_BELOW, quality_model_of, tokenizer_path
 from trendlake.session import materialise
 
@@ -19,8 +19,9 @@ from trendlake.session import materialise
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the quality classifier does not reject."""
     model = quality_model_of(docs, read(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
-    scored = quality_model.score_quality(docs, model, out="_score")
-    return scored.where(F.col("_score") >= REJECT_BELOW).select(*docs.columns)
+    (score,) = free_names(docs, "score")
+    scored = quality_model.score_quality(docs, model, out=score)
+    return without(scored.where(F.col(score) >= REJECT_BELOW), score)
 
 
 def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
