@@ -15,6 +15,7 @@ from trendlake.operators import gold, quality
 from trendlake.operators.clean import add_ratios, cleanse, silver_statistics, stamp, to_canonical
 from trendlake.operators.enrich import attach_category, build_lookup
 from trendlake.operators.reference import ingest_report, parse_documents, report_alerts, silver_reference
+from trendlake.plans.increments import update_gold
 from trendlake.schemas import INGEST_REPORT
 from trendlake.session import materialise, path_exists, release
 from trendlake.sinks import overwrite_partitions, write_partitioned
@@ -155,7 +156,7 @@ def run(
     when every check on silver passes.
 
     ``raw`` may be one day or everything: by default it is merged into what earlier runs left,
-    and running it again changes nothing. Where no rows have come yet, it ends without checks and gold.
+    and running it again changes nothing; gold reads only the days of silver that changed. Where no rows have come yet, it ends without checks and gold.
     ``database`` registers the tables in the catalog. The
     report on reference documents is in the result (``reference``: how many failed, which required
     columns are missing) and under ``<root>/reports``; failed documents also become alerts.
@@ -192,5 +193,8 @@ def run(
         return report | {"quality": None, "gold": {}}
     report["quality"] = quality_gate(spark, tables, f"{root}/alerts", as_of=as_of, **checks)
     reference = read_optional(spark, reference_path)
-    report["gold"] = silver_to_gold(read_table(spark, silver_path), reference, f"{root}/gold", as_of, database)
+    if mode == "merge" and set(partition_by) == set(gold.DAY):
+        report["gold"] = update_gold(spark, silver_path, reference, root, as_of, database)
+    else:
+        report["gold"] = silver_to_gold(read_table(spark, silver_path), reference, f"{root}/gold", as_of, database)
     return report
