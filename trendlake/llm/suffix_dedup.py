@@ -1,22 +1,21 @@
-"""Repeated passages by a depth-limited, most-significant-digit radix sort of suffixes.
+"""Repeated passages by grouping windows by minimizer and content hashes.
 
-A passage is removed where a string of ``length`` bytes also starts anywhere else. Two such strings
-are equal suffixes down to ``length``, so suffixes need ordering only that deep, and digits only have
-to tell equal from different: they are content hashes, and a pass keeps the groups that still have
-two members.
+This is not the depth-limited radix sort of suffixes: nothing is ordered by any digit. A passage is removed
+where a string of ``length`` bytes also starts anywhere else. That needs equality only, so each pass
+groups by a hash and keeps the groups that still have two members. Contents are not compared beyond the hashes.
 
-1. First digit: the run of ``GRAM`` bytes with the smallest hash inside the suffix's first ``length``
+1. First hash: the run of ``GRAM`` bytes with the smallest hash inside the suffix's first ``length``
    bytes. Equal suffixes have the same one in the same place. Neighbouring suffixes mostly share it,
-   so one row stands for a whole stretch of suffixes (about 50). Digits that occur once drop out:
+   so one row stands for a whole stretch of suffixes (about 50). Hashes that occur once drop out:
    most of the corpus.
-2. Second digit: the bytes of the whole stretch. Stretches that are equal throughout are repeated in
+2. Second hash: the bytes of the whole stretch. Stretches that are equal throughout are repeated in
    all their suffixes at once: copies and the inside of shared passages end here.
-3. Last digit: the ``length`` bytes of each suffix, for the stretches left, which lie where a repeated
+3. Last hash: the ``length`` bytes of each suffix, for the stretches left, which lie where a repeated
    passage begins or ends, against one of each different stretch with the same first digit.
 
-Every pass is a count by digit that combines before the shuffle and a join back, so a passage that a
-third of all documents share is never gathered in one task. The digits of stretches have 64
-bits below an equal first digit of 64, those of suffixes 96; a false match has a chance below 1e-9 at
+Every pass is a count by hash that combines before the shuffle and a join back, so a passage that a
+third of all documents share is never gathered in one task. The hashes of stretches have 64
+bits below an equal first hash of 64, those of suffixes 96; a false match has a chance below 1e-9 at
 10^9 suffixes. Passes are written and the ones before dropped, so disk holds one pass at a time.
 
 Null counts as empty. Texts shorter than ``length`` lose nothing and repeat nothing. Rows are told
