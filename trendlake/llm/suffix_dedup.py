@@ -11,7 +11,7 @@ groups by a hash and keeps the groups that still have two members. Contents are
 2. Second hash: the bytes of the whole stretch. Stretches that are equal throughout are repeated in
    all their suffixes at once: copies and the inside of shared passages end here.
 3. Last hash: the ``length`` bytes of each suffix, for the stretches left, which lie where a repeated
-   passage begins or ends, against one of each different stretch with the same first digit.
+   passage begins or ends, against one of each different stretch with the same first hash.
 
 Every pass is a count by hash that combines before the shuffle and a join back, so a passage that a
 third of all documents share is never gathered in one task. The hashes of stretches have 64
