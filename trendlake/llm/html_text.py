@@ -76,7 +76,9 @@ REPLIES = frozenset("comment comments commentlist disqus replies reply respond d
 TITLED = frozenset("entry post article story news page content section main".split())  # whose header is the title
 KEPT_KINDS = frozenset({"article", "main", "body", "html"})
 MOST, SMALL, LITTLE = 0.5, 0.05, 50  # shares of the characters outside links; characters
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+START = re.compile(r"<!--|<!\[CDATA\[|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
+BALANCED = re.compile("(?:[^\"']++|\"[^\"]*+\"|'[^']*+')*+")
+MARK = re.compile("[>\"']")
 UNFINISHED = re.compile(r"<(?:/?[a-zA-Z]|!)[^>]*\Z")
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -121,6 +123,53 @@ def _doubt(tag: str, attributes: str, in_article: bool) -> tuple[frozenset[str]
     return frozenset(found) or None, titled
 
 
+class _Tokens:
+    """Comments, declarations and tags of a page. What has no end is remembered, so that all of them are found in a few
+    passes over the page, whatever is left open in it."""
+
+    def __init__(self, page: str):
+        self.page, self.last, self.last_data = page, page.rfind(">"), page.rfind("]]>")
+        self.endless: set[int] = set()  # quotes that lead to no end of a tag
+
+    def _tag_end(self, at: int) -> int:
+        """The next ``>`` outside quotes; where the quotes leave none, the next one."""
+        page, nearest = self.page, self.page.find(">", at)
+        if BALANCED.match(page, at, nearest).end() == nearest:
+            return nearest
+        opened, place = [], at
+        while found := MARK.search(page, place):
+            if found[0] == ">":
+                return found.start()
+            if found.start() in self.endless:
+                break
+            opened.append(found.start())
+            place = page.find(found[0], found.end()) + 1
+            if not place:
+                break
+        self.endless.update(opened)
+        return nearest
+
+    def after(self, at: int) -> tuple[int, int, str | None, str, str] | None:
+        """(start, end, tag, ``/`` of an end tag, attributes or character data) of the next one; no tag but for tags."""
+        page, found = self.page, START.search(self.page, at)
+        if not found:
+            return None
+        start = found.start()
+        if start > self.last:  # only a comment may go without an end
+            start = page.find("<!--", start)
+            return None if start < 0 else (start, len(page), None, "", "")
+        if found[0] == "<!--":
+            end = page.find("-->", found.end())
+            return start, len(page) if end < 0 else end + 3, None, "", ""
+        if found[2] is not None:
+            end = self._tag_end(found.end())
+            return start, end + 1, found[2].lower(), found[1], page[found.end() : end]
+        if found[0] == "<![CDATA[" and found.end() <= self.last_data:
+            end = page.find("]]>", found.end())
+            return start, end + 3, None, "", page[found.end() : end]
+        return start, page.find(">", start) + 1, None, "", ""
+
+
 class _Tree:
     """Nodes in page order: tag, parent, noise, doubt; and the pieces of text with the node they stand in."""
 
@@ -167,24 +216,20 @@ class _Tree:
                 return
 
     def _read(self, page: str) -> None:
-        stack, at, size = [0], 0, len(page)
+        stack, at, size, tokens = [0], 0, len(page), _Tokens(page)
         while at < size:
-            found = TOKEN.search(page, at)
-            stop = found.start() if found else size
+            found = tokens.after(at)
+            stop = found[0] if found else size
             if stop > at:
                 text = page[at:stop] if found else UNFINISHED.sub("", page[at:])
                 if text:
                     self.pieces.append((stack[-1], text))
             if not found:
                 return
-            at = found.end()
-            if found[2] is not None:
-                closing, tag, attributes = found[1], found[2].lower(), found[3]
-            elif found[5] is not None:
-                closing, tag, attributes = found[4], found[5].lower(), found[6]
-            else:
-                if found[0].startswith("<![CDATA["):
-                    self.pieces.append((stack[-1], html.escape(found[0][9:-3])))
+            _, at, tag, closing, attributes = found
+            if tag is None:
+                if attributes:
+                    self.pieces.append((stack[-1], html.escape(attributes)))
                 continue
             if tag in INLINE and not (attributes and not closing and (_is_noise(tag, attributes) or _doubt(tag, attributes, True)[0])):
                 if tag in BLOCK:

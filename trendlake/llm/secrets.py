@@ -18,6 +18,7 @@ import re
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -227,14 +228,14 @@ def _words_and_values(text: str) -> tuple[set[str], list[str]]:
     return runs, [text[start:end] for start, end in spans]
 
 
-def _pieces(value: str) -> set[str]:
-    """The runs of letters in a value that may be words of the corpus."""
+def _pieces(value: str) -> Iterator[str]:
+    """The runs of letters in a value that may be words of the corpus, one by one: a long value has very many."""
     plain = _lowered(value).translate(LEET)
-    found = set()
     for piece in LETTERS.findall(plain):
         n = len(piece)
-        found.update(piece[i:j] for i in range(n - SHORTEST + 1) for j in range(i + SHORTEST, min(n, i + LONGEST) + 1))
-    return found
+        for i in range(n - SHORTEST + 1):
+            for j in range(i + SHORTEST, min(n, i + LONGEST) + 1):
+                yield piece[i:j]
 
 
 def corpus_words(df: DataFrame, text: str = "text") -> tuple[DataFrame, dict[int, float]]:
@@ -260,8 +261,10 @@ def corpus_words(df: DataFrame, text: str = "text") -> tuple[DataFrame, dict[int
                 if t:
                     runs, values = _words_and_values(t)
                     docs.update(runs)
-                    for value in values:
-                        asked |= _pieces(value)
+                    for piece in chain.from_iterable(map(_pieces, values)):
+                        asked.add(piece)
+                        if len(asked) > 100_000:
+                            yield flush()
                     if len(docs) + len(asked) > 100_000:
                         yield flush()
         if docs or asked:
