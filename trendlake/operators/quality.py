@@ -22,6 +22,7 @@ MAX_NULL_PCT = 5.0
 MAX_VIEWS = 50_000_000_000
 FRESHNESS_HOURS = 48
 RANGE_TABLE, RANGE_COLUMN = "clean_statistics", "views"
+EXTREMES = ("latest",)  # aggregates that are a greatest value; all others count
 STAMP_COLUMNS = ("_processed_at", "_ingestion_timestamp")
 ZONED = r":\d{2}(\.\d+)?\s*(Z|z|[+-]\d{1,2}(:?\d{2})?|[A-Za-z][\w/+:-]*)$"  # time text that names its zone
 
@@ -143,16 +144,37 @@ def _freshness(df: DataFrame, table: str, hours: int, as_of: dt.datetime | None)
     return Check({"latest": F.max(parsed), "unparsable": F.count_if(raw.isNotNull() & parsed.isNull())}, [record])
 
 
-def _evaluate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+@dataclass(frozen=True)
+class Records:
+    """Check records of a table that have been made already."""
+
+    rows: DataFrame
+
+
+def aggregates_of(checks: Sequence[Check]) -> dict[str, Column]:
     aggregates: dict[str, Column] = {}
     for check in checks:
         aggregates |= check.aggregates
-    records = [record for check in checks for record in check.records]
-    if not records:
-        return df.sparkSession.createDataFrame([], CHECK_RECORD)
     # With no aggregate (schema only) a count still yields the single row to build from.
-    profile = df.agg(*(c.alias(name) for name, c in (aggregates or {"n": F.count(F.lit(1))}).items()))
-    return profile.select(F.inline(F.array(*records)))
+    return aggregates or {"n": F.count(F.lit(1))}
+
+
+def merged(profiles: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """The profile of a table from those of its parts (``agg_`` before the names): counts add up, the latest stamp is the
+    latest of all."""
+    whole = {name: F.max(f"agg_{name}") if name in EXTREMES else F.coalesce(F.sum(f"agg_{name}"), F.lit(0)) for name in aggregates_of(checks)}
+    return profiles.agg(*(c.alias(name) for name, c in whole.items()))
+
+
+def records_of(profile: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """The records of the checks from the one row of their aggregates."""
+    return profile.select(F.inline(F.array(*(record for check in checks for record in check.records))))
+
+
+def _evaluate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    if not any(check.records for check in checks):
+        return df.sparkSession.createDataFrame([], CHECK_RECORD)
+    return records_of(df.agg(*(c.alias(name) for name, c in aggregates_of(checks).items())), checks)
 
 
 def check_row_count(df: DataFrame, table: str, minimum: int = MIN_ROW_COUNT) -> DataFrame:
@@ -181,7 +203,7 @@ def check_freshness(
     return _evaluate(df, [_freshness(df, table, hours, as_of)])
 
 
-def check_table(
+def table_checks(
     df: DataFrame,
     table: str,
     min_rows: int = MIN_ROW_COUNT,
@@ -190,8 +212,8 @@ def check_table(
     hours: int = FRESHNESS_HOURS,
     as_of: dt.datetime | None = None,
     columns: Sequence[str] | None = None,
-) -> DataFrame:
-    """All five checks in one aggregate pass over the whole table."""
+) -> list[Check]:
+    """All five checks of a table with the columns of ``df``."""
     expected = _expected(table, columns)
     checks = [
         _row_count(table, min_rows),
@@ -201,18 +223,23 @@ def check_table(
     if table == RANGE_TABLE:
         checks.append(_value_range(df, table, RANGE_COLUMN, max_value))
     checks.append(_freshness(df, table, hours, as_of))
-    return _evaluate(df, checks)
+    return checks
+
+
+def check_table(df: DataFrame, table: str, **options) -> DataFrame:
+    """All five checks in one aggregate pass over the whole table. Options: those of ``table_checks``."""
+    return _evaluate(df, table_checks(df, table, **options))
 
 
 def run_checks(
     spark: SparkSession,
-    tables: Mapping[str, DataFrame | str | Callable[[], DataFrame]],
+    tables: Mapping[str, DataFrame | str | Callable[[], DataFrame | Records]],
     isolate: bool = False,
     **options,
 ) -> DataFrame:
     """Check records of several tables, in one frame.
 
-    A table is a DataFrame, a catalog name, or a function that reads it. One that
+    A table is a DataFrame, a catalog name, or a function that reads it or gives its ``Records``. One that
     cannot be read gives a failed ``read_table`` record and the others go on. With
     ``isolate`` each table's pass runs at once, so that errors found only while
     reading its files are recorded as well.
@@ -221,7 +248,7 @@ def run_checks(
     for name, source in tables.items():
         try:
             df = spark.table(source) if isinstance(source, str) else source() if callable(source) else source
-            records = check_table(df, name, **options)
+            records = df.rows if isinstance(df, Records) else check_table(df, name, **options)
             if isolate:
                 # A handful of records per table: 5 checks, one of them per critical column.
                 records = spark.createDataFrame(records.collect(), CHECK_RECORD)

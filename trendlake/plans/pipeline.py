@@ -16,6 +16,7 @@ from trendlake.operators.clean import add_ratios, cleanse, silver_statistics, st
 from trendlake.operators.enrich import attach_category, build_lookup
 from trendlake.operators.reference import ingest_report, parse_documents, report_alerts, silver_reference
 from trendlake.plans.increments import update_gold
+from trendlake.plans.profiles import check_partitions
 from trendlake.schemas import INGEST_REPORT
 from trendlake.session import materialise, path_exists, release
 from trendlake.sinks import overwrite_partitions, write_partitioned
@@ -156,7 +157,8 @@ def run(
     when every check on silver passes.
 
     ``raw`` may be one day or everything: by default it is merged into what earlier runs left,
-    and running it again changes nothing; gold reads only the days of silver that changed. Where no rows have come yet, it ends without checks and gold.
+    and running it again changes nothing; checks and gold
+    read only the days of silver that changed. Where no rows have come yet, it ends without checks and gold.
     ``database`` registers the tables in the catalog. The
     report on reference documents is in the result (``reference``: how many failed, which required
     columns are missing) and under ``<root>/reports``; failed documents also become alerts.
@@ -170,7 +172,13 @@ def run(
         raw, silver_path, job_name, as_of, order_by, keep, partition_by, name("clean_statistics"), mode, run_date
     )
     report = {"statistics": statistics}
-    tables = {"clean_statistics": lambda: read_table(spark, silver_path)}
+    by_days = mode == "merge" and set(partition_by) == set(gold.DAY)
+    state = f"{root}/state"
+    tables = {
+        "clean_statistics": lambda: check_partitions(spark, silver_path, state, "clean_statistics", as_of=as_of, **checks)
+        if by_days
+        else read_table(spark, silver_path)
+    }
     if reference_docs is not None:
         ingested = reference_to_silver(reference_docs, reference_path, as_of, name("clean_reference_data"))
         ingested.write.mode("overwrite").parquet(f"{root}/reports/reference")
@@ -193,7 +201,7 @@ def run(
         return report | {"quality": None, "gold": {}}
     report["quality"] = quality_gate(spark, tables, f"{root}/alerts", as_of=as_of, **checks)
     reference = read_optional(spark, reference_path)
-    if mode == "merge" and set(partition_by) == set(gold.DAY):
+    if by_days:
         report["gold"] = update_gold(spark, silver_path, reference, root, as_of, database)
     else:
         report["gold"] = silver_to_gold(read_table(spark, silver_path), reference, f"{root}/gold", as_of, database)
