@@ -51,10 +51,14 @@ def write_partitioned(
 
 
 def overwrite_partitions(
-    df: DataFrame, path: str, partition_by: Sequence[str] = ("region",), table: str | None = None
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = ("region",),
+    table: str | None = None,
+    rebalance: bool = False,
 ) -> int:
     """Replace the touched partitions only. Files may bring new columns (read with ``merge_schema``)."""
-    return write_partitioned(df, path, partition_by, "overwrite", table)
+    return write_partitioned(df, path, partition_by, "overwrite", table, rebalance)
 
 
 def _literal(value: str | None) -> str:

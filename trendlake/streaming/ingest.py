@@ -144,7 +144,8 @@ def ingest_reference(
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         # Parsed once: the fields, the rows and the report all come from the written items.
         parsed = materialise(parse_documents(batch), "reference-batch")
-        overwrite_partitions(silver_reference(parsed, schema=schema), target)
+        # Gathered by region, or every task would leave a file in every region.
+        overwrite_partitions(silver_reference(parsed, schema=schema), target, rebalance=True)
         if report_path is not None:
             ingest_report(parsed).write.mode("overwrite").parquet(f"{report_path}/batch_id={batch_id}")
 
