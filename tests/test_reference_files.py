@@ -3,6 +3,8 @@
 import json
 
 import pytest
+from trendlake import fixtures as fx
+from trendlake.plans.pipeline import reference_to_silver
 from trendlake.sources import stream_reference_docs
 from trendlake.streaming import ingest_reference
 
@@ -28,6 +30,14 @@ def one_file_each():
     return {f"region=r{n}": 1 for n in range(REGIONS)}
 
 
+def test_reference_to_silver_writes_a_file_per_region(many_tasks, tmp_path):
+    rows = [(f"raw/region=r{n}/a.json", fx.AS_OF, document(n)) for n in range(REGIONS)]
+    docs = many_tasks.createDataFrame(rows, "path string, modified timestamp, value string")
+    reference_to_silver(docs, str(tmp_path / "t"), fx.AS_OF)
+    assert files_per_region(tmp_path / "t") == one_file_each()
+    assert many_tasks.read.parquet(str(tmp_path / "t")).count() == REGIONS * ITEMS
+
+
 def test_ingest_reference_writes_a_file_per_region(many_tasks, tmp_path):
     for n in range(REGIONS):
         (tmp_path / "in" / f"region=r{n}").mkdir(parents=True)

@@ -84,7 +84,8 @@ def reference_to_silver(
     """Write the newest usable document of each region, with every field its items have
     (``schema`` limits them); returns the ingest report."""
     parsed = materialise(parse_documents(docs), "reference")
-    overwrite_partitions(silver_reference(parsed, as_of, schema), target, table=table)
+    # Items are dealt by document and id: as they are, every task would leave a file in every region.
+    overwrite_partitions(silver_reference(parsed, as_of, schema), target, table=table, rebalance=True)
     return ingest_report(parsed)
 
 
