@@ -1,9 +1,13 @@
-"""Reference items of many regions: a file per region, however many tasks the items are dealt to."""
+"""Reference items of many regions: a file per region, however many tasks the items are dealt to; profiles by file."""
 
 import json
 
 import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows_of
 from trendlake import fixtures as fx
+from trendlake.plans import profiles
 from trendlake.plans.pipeline import reference_to_silver
 from trendlake.sources import stream_reference_docs
 from trendlake.streaming import ingest_reference
@@ -45,3 +49,24 @@ def test_ingest_reference_writes_a_file_per_region(many_tasks, tmp_path):
     ingest_reference(stream_reference_docs(many_tasks, str(tmp_path / "in")), str(tmp_path / "t"), str(tmp_path / "state"))
     assert files_per_region(tmp_path / "t") == one_file_each()
     assert many_tasks.read.parquet(str(tmp_path / "t")).count() == REGIONS * ITEMS
+
+
+def test_profiles_reckon_folders_from_files(spark, tmp_path, monkeypatch):
+    rows = spark.range(40).select(
+        F.concat(F.lit("v"), "id").alias("video_id"), F.when(F.col("id") % 4 != 0, F.col("id") - 30).alias("views"),
+        F.concat(F.lit("r +%"), F.col("id") % 2).alias("region"),
+    )
+    path = str(tmp_path / "t")
+    rows.repartition(3).write.partitionBy("region").parquet(path)
+    plans = []
+    kept = profiles.materialise
+
+    def seen(df, name):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return kept(df, name)
+
+    monkeypatch.setattr(profiles, "materialise", seen)
+    found, _ = profiles.profile_partitions(spark, path, str(tmp_path / "state"), "clean_statistics")
+    assert rows_of(found, "agg_n", "agg_negative") == [(20, 15), (20, 7)]
+    below = dict(plans)["profiles"].rpartition("Aggregate [")[2].partition("\n")[2]  # what is reckoned from every row
+    assert "file_path" in below and "decode" not in below

@@ -21,9 +21,9 @@ from trendlake.sources import read_table
 KEYS = ("folder", "files")
 
 
-def _folder() -> Column:
-    """The folder of the file a row was read from, spelled as files are listed."""
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+def _folder(file: Column) -> Column:
+    """The folder of a file that rows were read from, spelled as files are listed."""
+    path = F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
     return F.regexp_replace(path, "/[^/]*$", "")
 
 
@@ -50,7 +50,13 @@ def profile_partitions(spark: SparkSession, path: str, state: str, table: str, *
     profiles = None
     if folders != []:
         rows = df if folders is None else spark.read.schema(df.schema).option("basePath", path).parquet(*folders)
-        found = rows.groupBy(_plain(_folder()).alias("place")).agg(*(c.alias(f"agg_{name}") for name, c in aggregates.items()))
+        # By file first: folders are reckoned from a row per file, not from every row.
+        files = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(*(c.alias(f"agg_{name}") for name, c in aggregates.items()))
+        # Never null, or the join would test it below the aggregates, on every row.
+        place = F.coalesce(_plain(_folder(F.col("file"))), F.lit(""))
+        found = files.groupBy(place.alias("place")).agg(
+            *((F.max if name in quality.EXTREMES else F.sum)(f"agg_{name}").alias(f"agg_{name}") for name in aggregates)
+        )
         profiles = now.join(found, _plain(F.col("folder")) == F.col("place")).drop("place")
     if folders is not None:
         kept = stored.join(now, list(KEYS), "left_semi")
