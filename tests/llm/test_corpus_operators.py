@@ -72,6 +72,23 @@ def test_bpe_equals_the_library(spark, docs, nothing):
     assert bpe.encode_texts(nothing, path).count() == 0
 
 
+def test_bpe_holds_few_texts_at_a_time(spark):
+    """Rows go to Python by the hundred: Arrow batches of 10,000 texts took a large part of an executor's memory."""
+    path = tokenizer_path()
+    library = Tokenizer.from_file(path)
+    texts = [None if i % 50 == 7 else f"{prose(i % 40, i % 30)} 中👍 ẞ {i}" for i in range(450)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").coalesce(1)
+    coded = bpe.encode_checked(rows, path)
+    for found in (coded, bpe.encode_texts(rows, path), bpe.decode_ids(coded, path)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    for row in bpe.decode_ids(coded, path).collect():
+        want = library.encode(texts[row["doc_id"]] or "", add_special_tokens=False).ids
+        decoded = library.decode(want, skip_special_tokens=False)
+        assert np.frombuffer(row["ids"], "<u4").tolist() == want and row["n_tokens"] == len(want) and row["decoded"] == decoded
+        assert row["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
+
+
 def test_bpe_on_odd_texts():
     path = tokenizer_path()
     library = Tokenizer.from_file(path)

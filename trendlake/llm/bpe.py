@@ -17,18 +17,17 @@ import json
 import re
 import struct
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable
 from functools import cached_property
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlake.llm.common import free_names, without
 
-ROWS = 256  # texts converted together
-CACHED = 1 << 17  # entries a task keeps of each cache: with the tables about 130 MB
+CACHED = 1 << 18  # words a task keeps; with the tables about 100 MB
+CACHED_SYMBOLS, CACHED_FRAGMENTS = 1 << 17, 1 << 14  # words of unusual texts; fragments, asked for by new words only
 CACHED_CHARS = 64  # longer words are not kept
 SHORT = 32  # symbols up to which a list is searched for the next pair; longer fragments use a heap
 NO_PAIR = 1 << 30  # above every rank
@@ -57,14 +56,14 @@ def _usual(pattern: str) -> str:
 class _Words(dict):
     """Word to ids (as bytes), filled when asked."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, most: int):
         super().__init__()
-        self.encode = encode
+        self.encode, self.most = encode, most
 
     def __missing__(self, word: str) -> bytes:
         ids = self.encode(word)
         if len(word) <= CACHED_CHARS:
-            if len(self) >= CACHED:
+            if len(self) >= self.most:
                 self.clear()
             self[word] = ids
         return ids
@@ -85,8 +84,8 @@ class ForcedBoundaryBpe:
         self.pieces = re.compile(_usual(parts["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]))
         self.symbols = _byte_symbols()
         self.inside, self.at_end = self._joined_pairs(vocabulary)
-        self.words = _Words(self._encode_word)
-        self.symbol_words = _Words(self._encode_symbols)
+        self.words = _Words(self._encode_word, CACHED)
+        self.symbol_words = _Words(self._encode_symbols, CACHED_SYMBOLS)
         self.fragments: dict[str, bytes] = {}
 
     @staticmethod
@@ -152,7 +151,7 @@ class ForcedBoundaryBpe:
             ids = [self.ids[t] for t in self._merge(parts)]
             found = struct.pack(f"<{len(ids)}I", *ids)
             if len(fragment) <= CACHED_CHARS:
-                if len(self.fragments) >= CACHED:
+                if len(self.fragments) >= CACHED_FRAGMENTS:
                     self.fragments.clear()
                 self.fragments[fragment] = found
         return found
@@ -208,42 +207,48 @@ def decode(ids: bytes | None, texts: list[str | None]) -> str:
     return " ".join([t for t in found if t is not None] if None in found else found)
 
 
-def _converted(values: pa.Array, convert, kind: pa.DataType) -> pa.Array:
-    """Some rows at a time: a batch of long texts is held once, as Arrow, and not again as objects."""
-    parts = [
-        pa.array([convert(v) for v in values.slice(at, ROWS).to_pylist()], kind) for at in range(0, len(values), ROWS)
-    ]
-    return pa.concat_arrays(parts) if parts else pa.array([], kind)
-
-
 def _model(spark: SparkSession, path: str):
     """The tokenizer file, read once by the driver: a fixed size of a few MB, whatever the data."""
     with open(path, encoding="utf-8") as file:
         return spark.sparkContext.broadcast(file.read())
 
 
-def encoder(spark: SparkSession, path: str):
-    spec = _model(spark, path)
+class _InTask:
+    """A function of one value that ``make`` makes in each task, when the first value comes."""
 
-    @F.arrow_udf("binary")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = ForcedBoundaryBpe(spec.value)
-        for texts in batches:
-            yield _converted(texts, model.encode, pa.binary())
+    def __init__(self, make: Callable[[], Callable]):
+        self.make = make
+
+    @cached_property
+    def convert(self) -> Callable:
+        return self.make()
 
-    return encode
+
+def _by_value(make: Callable[[], Callable], kind: str):
+    """Values go to Python and back a hundred at a time, pickled. An Arrow batch has 10,000 texts or 64 MB, held on both
+    sides of every core with room to grow: more than the tables and caches."""
+    task = _InTask(make)
+
+    @F.udf(kind, useArrow=False)
+    def convert(value):
+        return task.convert(value)
+
+    return convert
+
+
+def encoder(spark: SparkSession, path: str):
+    spec = _model(spark, path)
+    return _by_value(lambda: ForcedBoundaryBpe(spec.value).encode, "binary")
 
 
 def decoder(spark: SparkSession, path: str):
     spec = _model(spark, path)
 
-    @F.arrow_udf("string")
-    def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def make():
         texts = token_texts(spec.value)
-        for ids in batches:
-            yield _converted(ids, lambda i: decode(i, texts), pa.string())
+        return lambda ids: decode(ids, texts)
 
-    return decoded
+    return _by_value(make, "string")
 
 
 def round_trip(spark: SparkSession, path: str):
@@ -251,19 +256,17 @@ def round_trip(spark: SparkSession, path: str):
     with another copy of the tables, on every core."""
     spec = _model(spark, path)
 
-    @F.arrow_udf("ids binary, digest string")
-    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def make():
         model = ForcedBoundaryBpe(spec.value)
         texts = token_texts(spec.value)
 
-        def convert(text: str | None) -> dict:
+        def both(text: str | None) -> tuple[bytes, str]:
             ids = model.encode(text)
-            return {"ids": ids, "digest": hashlib.sha256(decode(ids, texts).encode("utf-8", "surrogatepass")).hexdigest()}
+            return ids, hashlib.sha256(decode(ids, texts).encode("utf-8", "surrogatepass")).hexdigest()
 
-        kind = pa.struct([("ids", pa.binary()), ("digest", pa.string())])
-        for values in batches:
-            yield _converted(values, convert, kind)
+        return both
 
+    both = _by_value(make, "ids binary, digest string")
     return both.asNondeterministic()  # so that it stays one column, computed once
 
 
