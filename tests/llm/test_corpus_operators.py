@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
+from trendlake import session
 from trendlake.llm import bpe, components, exact_dedup, html_text, language, line_rules, mixing, near_dedup, quality_model, secrets, suffix_dedup
 from trendlake.llm.queries import tokenizer_path
 
@@ -338,3 +339,37 @@ def test_mixing(spark, docs, nothing):
 def test_native_operators_run_no_python(docs):
     for df in (line_rules.remove_common_lines(line_rules.text_figures(docs)), mixing.mix(docs)):
         assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_exact_dedup_compares_the_texts_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(text):
+        seen.add(1)
+        return text
+
+    rows = [(i, f"text {i % 70}", "src0") for i in range(100)]
+    table = spark.createDataFrame(rows, SCHEMA).withColumn("text", F.udf(read, "string").asNondeterministic()("text"))
+    assert exact_dedup.drop_copies(table).count() == 70
+    assert seen.value <= 3 * len(rows)  # the groups, the rows to be marked, the rows that stay
+
+
+def test_dedup_hands_python_few_texts_at_a_time(spark, docs, monkeypatch):
+    name, kept, held = "spark.sql.execution.arrow.maxRecordsPerBatch", session.materialise, {}
+
+    def seen(df, folder):
+        held[folder] = int(spark.conf.get(name))
+        return kept(df, folder)
+
+    for module in (near_dedup, exact_dedup):
+        monkeypatch.setattr(module, "materialise", seen)
+    before = spark.conf.get(name)
+    near_dedup.near_groups(docs)
+    exact_dedup.drop_copies(docs)
+    assert max(held[folder] for folder in ("near-signed", "near-sets", "exact-groups")) <= 1000
+    assert held["near-labels"] == int(before) and spark.conf.get(name) == before
+    with session.arrow_rows(spark, 5), session.arrow_rows(spark, 100):
+        assert spark.conf.get(name) == "5"
+    with pytest.raises(ZeroDivisionError), session.arrow_rows(spark, 5):
+        1 / 0
+    assert spark.conf.get(name) == before

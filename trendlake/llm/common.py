@@ -14,6 +14,8 @@ from trendlake.session import delete_path, scratch_path
 WORD_BREAKS = " \t\n\x0b\x0c\r"
 WORD_BREAK_PATTERN = r"[ \t\n\x0B\f\r]+"
 
+TEXTS = 512  # whole texts in an Arrow batch of the operators that run their jobs themselves
+
 
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/{name}.parquet")

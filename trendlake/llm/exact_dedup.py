@@ -21,8 +21,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import free_names, without
+from trendlake.llm.common import TEXTS, free_names, without
 from trendlake.operators.sizes import broadcast_if_small
+from trendlake.session import arrow_rows, materialise
 
 BUDGET = 48 << 20  # bytes of different texts that a table holds
 FANOUT_BITS = 4
@@ -174,7 +175,8 @@ def exact_groups(df: DataFrame, key: str = "doc_id", text: str = "text", budget:
 
 def drop_copies(df: DataFrame, key: str = "doc_id", text: str = "text", budget: int = BUDGET) -> DataFrame:
     """The rows of ``df`` that stay, with all their columns. Runs jobs at call time."""
-    found = exact_groups(df, key, text, budget)
+    with arrow_rows(df.sparkSession, TEXTS):  # written: three jobs read it, and each would shuffle all texts
+        found = materialise(exact_groups(df, key, text, budget), "exact-groups")
     sha, gone_key, gone_sha = free_names(df, "sha", "gone", "gone_sha")
     gone = found.where(~F.col(f"`{key}`").eqNullSafe(F.col("keep_id"))).select(F.col(f"`{key}`").alias(gone_key), F.col("text_sha256").alias(gone_sha))
     repeated = found.where(F.col(f"`{key}`").eqNullSafe(F.col("keep_id")) & ~F.col("kept"))

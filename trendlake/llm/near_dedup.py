@@ -32,10 +32,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import free_names, without
+from trendlake.llm.common import TEXTS, free_names, without
 from trendlake.llm.components import connected
 from trendlake.operators.sizes import broadcast_if_small
-from trendlake.session import materialise
+from trendlake.session import arrow_rows, materialise
 
 WINDOW = 5
 SIMILARITY = 0.8
@@ -238,7 +238,9 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, weighting: st
     rows = broadcast_if_small(materialise(rows, "near-wanted"))
     texts = docs.join(rows, (F.col("row") == F.col("_row")) & F.col("key").eqNullSafe(F.col("_key")), "left_semi")
     sets = element_sets(texts, "text", weighting).groupBy("node")
-    return materialise(sets.agg(F.first("elements").alias("elements"), F.first("weights").alias("weights")), "near-sets")
+    sets = sets.agg(F.first("elements").alias("elements"), F.first("weights").alias("weights"))
+    with arrow_rows(docs.sparkSession, TEXTS):
+        return materialise(sets, "near-sets")
 
 
 def near_groups(
@@ -255,7 +257,8 @@ def near_groups(
     The row with the smallest key stays (of equal rows all are marked). Runs jobs at call time.
     """
     docs = df.select(F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("row"), F.col(f"`{text}`").alias("text"))
-    signed = materialise(signatures(docs, "text", bands, rows, weighting), "near-signed")
+    with arrow_rows(df.sparkSession, TEXTS):
+        signed = materialise(signatures(docs, "text", bands, rows, weighting), "near-signed")
     one = F.min(F.struct("key", "row"))
     nodes = signed.where("node is not null").groupBy("node").agg(one.alias("one"), F.first("bands").alias("bands"))
     nodes = materialise(nodes.select("node", "one.key", "one.row", "bands"), "near-nodes")
